@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filetide.functions import columns as C
 from filetide.operators.normalize import record_event_id, _stored
 from filetide.schema import FIELDS, LAYOUT, RECORD, TIMESTAMP_KEY
 from filetide.session import prepare
@@ -23,20 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """A table read in fewer splits than there are cores, spread over the cores. Larger tables
+    are left as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined tables with one row per delivery; Spark chooses the joins."""
     lineitem, orders, customer, supplier, part, nation = (table(spark, sf_dir, t) for t in TABLES)
     joined = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        _spread(lineitem, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     copies = F.when(F.col("l_orderkey") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    offset = F.make_dt_interval(secs=((F.col("l_orderkey") * 7919) % 86400).cast("decimal(18,6)"))
+    second = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + (F.col("l_orderkey") * 7919) % 86400
     return joined.withColumn("delivery", F.explode(copies)).withColumn(
-        "event_time", F.col("l_shipdate").cast("timestamp") + offset)
+        "event_time", F.timestamp_seconds(second))
 
 
 def server_address() -> Column:
@@ -96,8 +102,8 @@ def _source() -> Column:
     return F.when(F.col("l_linestatus") == "O", F.lit("primary")).otherwise(F.lit("secondary"))
 
 
-def _minutes(n: Column) -> Column:
-    return F.make_dt_interval(mins=n)
+def _minutes_later(n: Column) -> Column:
+    return F.timestamp_seconds(F.unix_seconds("event_time") + n * 60)
 
 
 def _body(wire: dict[str, Column]) -> Column:
@@ -119,9 +125,8 @@ def access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "source_exchange": _source(), "raw_json": _body(wire)}
     return _deliveries(spark, sf_dir).select(
         *[derived[name].alias(name) for name in LAYOUT.names],
-        (F.col("event_time") + _minutes(F.col("delivery"))).alias("ingest_time"),
+        _minutes_later(F.col("delivery")).alias("ingest_time"),
         F.lit(False).alias("parse_error"),
-        C.body_hash(derived["raw_json"]).alias("body_hash"),
     )
 
 
@@ -129,7 +134,7 @@ def access_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same accesses as messages: source, body and arrival time."""
     body = _body(_wire())
     cut = F.col("l_orderkey") % 97 == 0
-    received = F.col("event_time") + _minutes(F.col("delivery"))
+    received = _minutes_later(F.col("delivery"))
     return _deliveries(spark, sf_dir).select(
         _source().alias("source_exchange"),
         F.when(cut, F.substring(body, F.lit(1), F.length(body) - 20)).otherwise(body).alias("body"),
@@ -137,20 +142,75 @@ def access_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as messages of one more source, a second after they happened."""
+def _event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("event_id")
+    copies = F.when(key % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    events = _spread(table(spark, sf_dir, "events"), "event_id")
+    return events.withColumn("delivery", F.explode(copies)).select(
+        F.col("event_id").alias("number"), "delivery", "event_type", "user_id", "value", "props",
+        F.date_trunc("MILLISECOND", F.col("ts").cast("timestamp")).alias("event_time"))
+
+
+def _event_wire() -> dict[str, Column]:
     cents = F.round(F.col("value") * 100).cast("bigint")
-    nothing = F.lit(0).cast("bigint")
     top = F.concat(F.lit("/"), F.col("event_type"))
-    server = F.concat(F.lit("srv-"), (F.col("user_id") % 8).cast("string"))
-    body = F.to_json(F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias(TIMESTAMP_KEY),
-        F.col("event_id").cast("string").alias("serverID"),
-        server.alias("server_hostname"),
-        F.col("event_type").alias("vo"),
-        F.col("props").alias("filename"), top.alias("dirname1"), top.alias("dirname2"),
-        cents.alias("read"),
-        F.when(F.col("event_type") == "purchase", cents).otherwise(nothing).alias("write")))
-    return table(spark, sf_dir, "events").select(
-        F.lit("stream").alias("source_exchange"), body.alias("body"),
-        (F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.lit(1))).alias("recv_time"))
+    revised = (F.col("delivery") == 2) & (F.col("number") % 100 == 0)
+    return {
+        "serverID": F.col("number").cast("string"),
+        "server_hostname": F.concat(F.lit("srv-"), (F.col("user_id") % 8).cast("string")),
+        "vo": F.when(revised, F.lit("REVISED")).otherwise(F.col("event_type")),
+        "filename": F.col("props"),
+        "dirname1": top,
+        "dirname2": top,
+        "read": cents,
+        "write": F.when(F.col("event_type") == "purchase", cents).otherwise(F.lit(0).cast("bigint")),
+    }
+
+
+def _event_body() -> Column:
+    stamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return F.to_json(F.struct(
+        stamp.alias(TIMESTAMP_KEY), *[v.alias(k) for k, v in _event_wire().items()]))
+
+
+def _seconds_later(n: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros("event_time") + n * 1000000)
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as normalised rows: thirty days, redelivered like ``access_records``.
+    ``delivery`` tells the copies apart."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in RECORD}
+    record = {**absent, **_event_wire()}
+    derived = {f.column: _stored(f.rule, record[f.key]) for f in FIELDS}
+    derived |= {"event_time": F.col("event_time"), "event_id": record_event_id(record),
+                "source_exchange": F.lit("stream"), "raw_json": _event_body()}
+    return _event_deliveries(spark, sf_dir).select(
+        *[derived[name].alias(name) for name in LAYOUT.names],
+        _seconds_later(F.col("delivery")).alias("ingest_time"), "delivery")
+
+
+def event_batches(records: DataFrame) -> list[tuple[int, DataFrame]]:
+    """First deliveries in three batches by day of the month, then all second deliveries, which
+    land late in every day."""
+    day = F.dayofmonth("event_time")
+    number = F.when(F.col("delivery") == 2, 3).when(day <= 10, 0).when(day <= 20, 1).otherwise(2)
+    numbered = records.withColumn("_batch", number)
+    return [(n, numbered.filter(F.col("_batch") == n).drop("_batch", "delivery")) for n in range(4)]
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as messages; every 97th is cut short. ``delivery`` tells the copies apart."""
+    cut = F.col("number") % 97 == 0
+    body = _event_body()
+    return _event_deliveries(spark, sf_dir).select(
+        F.lit("stream").alias("source_exchange"),
+        F.when(cut, F.substring(body, F.lit(1), F.length(body) - 20)).otherwise(body).alias("body"),
+        _seconds_later(F.col("delivery")).alias("recv_time"), "delivery")
+
+
+def land_messages(spark: SparkSession, sf_dir: str, path: str, delivery: int) -> None:
+    """Adds one delivery of the event messages to a folder of JSON files."""
+    messages = event_messages(spark, sf_dir)
+    (messages.filter(F.col("delivery") == delivery).drop("delivery")
+     .write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(path))

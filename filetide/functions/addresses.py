@@ -65,15 +65,20 @@ def _format(groups: Column) -> Column:
     ).otherwise(_compress(groups))
 
 
+def _hex_only(lowered: Column) -> Column:
+    """A dotted tail rewritten as the two groups it stands for."""
+    return _let(
+        F.regexp_extract(lowered, rf":({_V4})$", 1),
+        lambda tail: F.when(tail == "", lowered).otherwise(
+            F.concat(F.regexp_replace(lowered, rf"{_V4}$", ""), _hex_pair(tail))))
+
+
 def canonical_ip(text: Column) -> Column:
     """IPv6 text; IPv4 becomes ``::ffff:a.b.c.d``; empty, scoped or malformed becomes ``::``."""
-    lowered = F.lower(text)
-    tail = F.regexp_extract(lowered, rf":({_V4})$", 1)
-    hexed = F.when(tail == "", lowered).otherwise(
-        F.concat(F.regexp_replace(lowered, rf"{_V4}$", ""), _hex_pair(tail)))
-    parsed = _let(
-        F.regexp_replace(_expand(hexed), ":0+(?=[0-9a-f])", ":"),
-        lambda groups: F.when(groups.isNotNull(), _format(groups)).otherwise(F.lit("::")))
+    groups = _let(
+        _hex_only(F.lower(text)),
+        lambda hexed: F.regexp_replace(_expand(hexed), ":0+(?=[0-9a-f])", ":"))
+    parsed = _let(groups, lambda g: F.when(g.isNotNull(), _format(g)).otherwise(F.lit("::")))
     return (
         F.when(F.coalesce(text, F.lit("")) == "", F.lit("::"))
         .when(text.rlike(rf"^{_V4}$"), F.concat(F.lit("::ffff:"), text))

@@ -3,6 +3,8 @@ becomes an all-zero record that still carries the body and a flag."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,7 @@ _TEXT_KEYS = [f.key for f in FIELDS if f.wire == "string"]
 _BAD = "_bad"
 
 # The JSON reader turns a number, boolean, object or array in a text field into its JSON text.
-# Only rows with a text value of that shape get their token types checked.
+# Only bodies with a text value of that shape get their token types checked.
 _NOT_PLAIN_TEXT = (
     r"(?m)^(?:-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?$|true$|false$|\{[\"}]"
     r"|\[(?:[\]\"{\[]|true|false|null|-?\d[\d.eE+-]*[,\]]))"
@@ -28,68 +30,65 @@ def _read_json(body: Column, element: T.StructType) -> Column:
     JSON value makes the whole message invalid instead of being skipped."""
     shape = T.StructType([
         T.StructField("message", T.ArrayType(element)), T.StructField(_BAD, T.StringType())])
-    wrapped = F.concat(F.lit('{"message":['), F.coalesce(body, F.lit("")), F.lit("]}"))
+    wrapped = F.concat(F.lit('{"message":['), body, F.lit("]}"))
     return F.from_json(wrapped, shape, {**STRICT_JSON, "columnNameOfCorruptRecord": _BAD})
 
 
-def _mistyped_keys(body: Column) -> Column:
-    """Text fields whose JSON value is not a string."""
-    shape = T.StructType([T.StructField(k, T.VariantType()) for k in _TEXT_KEYS])
+def _suspect(record: Column) -> Column:
+    time = record[TIMESTAMP_KEY]
+    texts = F.concat_ws("\n", *[record[k] for k in _TEXT_KEYS])
+    return texts.rlike(_NOT_PLAIN_TEXT) | (time.isNotNull() & C.parse_rfc3339(time).isNull())
+
+
+def _usable_part(body: Column) -> Column:
+    """The body without the values that do not count: text fields that hold something other than
+    a string and, if the time is malformed, everything from the time on, where decoding stops.
+    NULL when every value counts or the body is no JSON object."""
+    shape = T.StructType([T.StructField(k, T.VariantType()) for k in [TIMESTAMP_KEY, *_TEXT_KEYS]])
     record = F.get(_read_json(body, shape)["message"], F.lit(0))
-    kinds = F.array(*[
-        F.when(~F.schema_of_variant(record.getField(k)).isin("STRING", "VOID"), F.lit(k))
-        for k in _TEXT_KEYS])
-    return F.array_compact(kinds)
 
+    def kind(key):
+        return F.coalesce(F.schema_of_variant(record[key]), F.lit("VOID"))
 
-def _keys_from(body: Column, key: str) -> Column:
-    """Keys of the body from ``key`` on, in the order they are written."""
+    mistyped = F.array_compact(F.array(*[
+        F.when(~kind(k).isin("STRING", "VOID"), F.lit(k)) for k in _TEXT_KEYS]))
+    time = F.try_variant_get(record[TIMESTAMP_KEY], "$", "string")
+    bad_time = (kind(TIMESTAMP_KEY) != "VOID") & (
+        (kind(TIMESTAMP_KEY) != "STRING") | C.parse_rfc3339(time).isNull())
     keys = F.json_object_keys(body)
-    return F.slice(keys, F.array_position(keys, key).cast("int"), F.size(keys))
+    late = F.when(bad_time, F.slice(
+        keys, F.array_position(keys, TIMESTAMP_KEY).cast("int"), F.size(keys)))
+    ignored = F.concat(mistyped, F.coalesce(late, F.array().cast("array<string>")))
 
+    values = F.from_json(body, T.MapType(T.StringType(), T.VariantType()), STRICT_JSON)
+    kept = F.element_at(F.transform(F.array(ignored), lambda names: F.when(
+        F.size(names) > 0, F.map_filter(values, lambda k, _: ~F.array_contains(names, k)))), 1)
+    return F.to_json(kept)
 
-def parse_records(df: DataFrame, body: str = "body") -> DataFrame:
+
+def parse_records(df: DataFrame, body: str = "body", observed: str | None = None) -> DataFrame:
     """Adds ``record`` (55 fields, NULL = absent), ``record_time`` and ``parse_error``.
 
     A value of the wrong type is absent and flagged while its neighbours are kept. A malformed
-    ``@timestamp`` ends decoding there, so later keys are absent too. Keys match by exact case.
-    """
-    text = F.col(body)
-    wire = T.StructType([T.StructField(f.name, f.dataType) for f in RECORD])
-    parsed = df.withColumn("_parsed", _read_json(text, wire))
+    time ends decoding there, so later keys are absent too. Keys match by exact case.
 
-    messages = F.col("_parsed")["message"]
-    alone = F.coalesce(F.size(messages) == 1, F.lit(False))
-    read = parsed.select(
-        *df.columns,
-        F.when(alone, F.get(messages, F.lit(0))).alias("_record"),
-        (F.col("_parsed")[_BAD].isNotNull() | ~alone).alias("_invalid"),
-    )
-
-    record = F.col("_record")
-    stamp = record[TIMESTAMP_KEY]
-    bad_time = stamp.isNotNull() & F.col("record_time").isNull()
-    odd_text = F.concat_ws("\n", *[record[k] for k in _TEXT_KEYS]).rlike(_NOT_PLAIN_TEXT)
-    checked = read.withColumn("record_time", C.parse_rfc3339(stamp)).withColumn(
-        "_late", F.when(bad_time, _keys_from(text, TIMESTAMP_KEY))
-    ).withColumn("_mistyped", F.when(odd_text, _mistyped_keys(text)))
-
-    late, mistyped = F.col("_late"), F.col("_mistyped")
-    checked = checked.withColumn("_ignored", F.when(
-        late.isNotNull() | (F.size(mistyped) > 0),
-        F.concat(F.coalesce(late, F.array().cast("array<string>")),
-                 F.coalesce(mistyped, F.array().cast("array<string>")))))
-    ignored = F.col("_ignored")
-
-    kept = F.struct(*[
-        F.when(ignored.isNull() | ~F.array_contains(ignored, name), record[name]).alias(name)
-        for name in RECORD.names])
-    return checked.select(
+    Messages and parse errors are observed under the name ``observed``. Filters do not pass below
+    an observation, so that a later filter does not parse every body a second time.
+    """
+    text = F.coalesce(F.col(body), F.lit(""))
+    first = F.get(F.col("_parsed")["message"], F.lit(0))
+    alone = F.coalesce(F.size(F.col("_parsed")["message"]) == 1, F.lit(False))
+    parsed = df.withColumn("_parsed", _read_json(text, RECORD))
+    usable = parsed.withColumn("_usable", F.when(alone & _suspect(first), _usable_part(text)))
+    records = usable.select(
         *df.columns,
-        F.when(ignored.isNull(), record).otherwise(kept).alias("record"),
-        "record_time",
-        (F.col("_invalid") | ignored.isNotNull()).alias("parse_error"),
-    )
+        F.when(F.col("_usable").isNotNull(), F.get(_read_json(F.col("_usable"), RECORD)["message"], F.lit(0)))
+        .when(alone, first).alias("record"),
+        (F.col("_parsed")[_BAD].isNotNull() | ~alone | F.col("_usable").isNotNull()).alias("parse_error"),
+    ).observe(
+        observed or f"parsed-{uuid.uuid4().hex[:12]}",
+        F.count(F.lit(1)).alias("messages"), F.count_if("parse_error").alias("parse_errors"))
+    return records.withColumn("record_time", C.parse_rfc3339(F.col("record")[TIMESTAMP_KEY]))
 
 
 def _stored(rule: str, value: Column) -> Column:
@@ -144,8 +143,9 @@ def project_layout(df: DataFrame, body: str = "body", received: str = "recv_time
     )
 
 
-def normalize_records(df: DataFrame, body: str = "body", received: str = "recv_time") -> DataFrame:
-    return project_layout(parse_records(df, body), body, received)
+def normalize_records(df: DataFrame, body: str = "body", received: str = "recv_time",
+                      observed: str | None = None) -> DataFrame:
+    return project_layout(parse_records(df, body, observed), body, received)
 
 
 def normalize_ip(df: DataFrame, column: str = "server_ip") -> DataFrame:

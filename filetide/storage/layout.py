@@ -77,6 +77,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _filesystem(spark, path)
+    return fs.exists(target)
+
+
 def merged_through(found: list[Part]) -> dict[date, int]:
     """Per day with a merged result, the last batch it covers."""
     through: dict[date, int] = {}

@@ -86,7 +86,8 @@ def write_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> None:
 
 def ensure_tables(spark: SparkSession, root: str, database: str = "filetide",
                   specs: tuple[RollupSpec, ...] = (HOURLY, DAILY)) -> list[str]:
-    """Registers the database and its tables over ``root``; does nothing where they exist."""
+    """Registers the database and its tables over ``root``, and the days now stored there. Does
+    nothing where they exist. Compact first: a catalog reader sees merged days and their batches."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     wanted = [(layout.RAW, RAW_TABLE, layout.RAW_DAY)]
     wanted += [(s.name, layout.rollup_schema(s), layout.ROLLUP_DAY) for s in specs]
@@ -96,6 +97,7 @@ def ensure_tables(spark: SparkSession, root: str, database: str = "filetide",
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "
             f"PARTITIONED BY (`{day}`, merged, batch_id) LOCATION '{layout.table_path(root, name)}'")
+        spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}` SYNC PARTITIONS")
         names.append(f"{database}.{name}")
     return names
 

@@ -82,6 +82,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _filesystem(spark, path)
+    fs.mkdirs(target)
+
+
 def merged_through(found: list[Part]) -> dict[date, int]:
     """Per day with a merged result, the last batch it covers."""
     through: dict[date, int] = {}

@@ -93,6 +93,7 @@ def ensure_tables(spark: SparkSession, root: str, database: str = "filetide",
     wanted += [(s.name, layout.rollup_schema(s), layout.ROLLUP_DAY) for s in specs]
     names = []
     for name, schema, day in wanted:
+        layout.make_folder(spark, layout.table_path(root, name))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "

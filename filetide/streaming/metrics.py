@@ -58,13 +58,11 @@ def read_commits(spark: SparkSession, root: str) -> DataFrame:
 
 def counters(batches: DataFrame, commits: DataFrame) -> DataFrame:
     """One row: the running totals over all batches."""
-    counts = batches.agg(
-        F.sum("messages").alias("messages"), F.sum("parse_errors").alias("parse_errors"),
-        F.sum("rows_inserted").alias("rows_inserted"), F.sum("quarantined").alias("quarantined"))
-    outcomes = commits.agg(
-        F.count_if("committed").alias("batches_committed"),
-        F.count_if(~F.col("committed")).alias("insert_failures"))
-    return counts.join(outcomes)
+    outcomes = commits.select(
+        F.col("committed").cast("bigint").alias("batches_committed"),
+        (~F.col("committed")).cast("bigint").alias("insert_failures"))
+    both = batches.drop("source_exchange", "batch_id").unionByName(outcomes, allowMissingColumns=True)
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns])
 
 
 def latency_histogram(latencies: DataFrame, column: str = "latency_seconds") -> DataFrame:

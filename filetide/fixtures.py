@@ -115,14 +115,21 @@ def _body(wire: dict[str, Column]) -> Column:
         extra.alias("file_path")))
 
 
+def _layout(wire: dict[str, Column]) -> dict[str, Column]:
+    """Table columns of a message with these values; fields it lacks hold their zero."""
+    zeros = {"string": F.lit(""), "int": F.lit(0), "bigint": F.lit(0).cast("bigint"),
+             "double": F.lit(0.0), "timestamp": F.lit("1970-01-01").cast("timestamp")}
+    stored = {f.name: zeros[f.dataType.simpleString()] for f in LAYOUT}
+    stored["server_ip"] = F.lit("::")
+    stored |= {f.column: _stored(f.rule, wire[f.key]) for f in FIELDS if f.key in wire}
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in RECORD if f.name not in wire}
+    return stored | {"event_time": F.col("event_time"), "event_id": record_event_id(absent | wire)}
+
+
 def access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised rows with their write time, as the raw table holds them."""
     wire = _wire()
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in RECORD}
-    record = {**absent, **wire}
-    derived = {f.column: _stored(f.rule, record[f.key]) for f in FIELDS}
-    derived |= {"event_time": F.col("event_time"), "event_id": record_event_id(record),
-                "source_exchange": _source(), "raw_json": _body(wire)}
+    derived = _layout(wire) | {"source_exchange": _source(), "raw_json": _body(wire)}
     return _deliveries(spark, sf_dir).select(
         *[derived[name].alias(name) for name in LAYOUT.names],
         _minutes_later(F.col("delivery")).alias("ingest_time"),
@@ -180,11 +187,8 @@ def _seconds_later(n: Column) -> Column:
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as normalised rows: thirty days, redelivered like ``access_records``.
     ``delivery`` tells the copies apart."""
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in RECORD}
-    record = {**absent, **_event_wire()}
-    derived = {f.column: _stored(f.rule, record[f.key]) for f in FIELDS}
-    derived |= {"event_time": F.col("event_time"), "event_id": record_event_id(record),
-                "source_exchange": F.lit("stream"), "raw_json": _event_body()}
+    derived = _layout(_event_wire()) | {
+        "source_exchange": F.lit("stream"), "raw_json": _event_body()}
     return _event_deliveries(spark, sf_dir).select(
         *[derived[name].alias(name) for name in LAYOUT.names],
         _seconds_later(F.col("delivery")).alias("ingest_time"), "delivery")

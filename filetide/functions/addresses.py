@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from filetide.functions.columns import let
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 _GROUP = r"[0-9a-f]{1,4}"
@@ -12,11 +14,6 @@ _SIDE = rf"(?:{_GROUP}(?::{_GROUP})*)?"
 _MAPPED = ":0:0:0:0:0:ffff:"
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it many times in ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _hex_pair(dotted: Column) -> Column:
     octets = [F.get(F.split(dotted, r"\."), F.lit(i)).try_cast("int") for i in range(4)]
     return F.lower(F.concat_ws(
@@ -47,16 +44,14 @@ def _expand(hexed: Column) -> Column:
     return F.coalesce(full, gap)
 
 
+# The longest run is tried first, and a lazy prefix finds its first place; a single zero stays.
+_ZERO_RUN = "^(?:" + "|".join(rf"(.*?)(?::0){{{n}}}(?=:)" for n in range(8, 1, -1)) + ")"
+_BEFORE_RUN = "".join(f"${n}" for n in range(1, 8)) + ":"
+
+
 def _compress(groups: Column) -> Column:
-    """Shorten the first of the longest runs of zero groups; a single zero stays."""
-    short = groups
-    for n in range(2, 9):
-        run = ":" + "0:" * n
-        at = F.instr(groups, run)
-        short = F.when(at > 0, F.concat(
-            F.substring(groups, F.lit(1), at - 1), F.lit("::"),
-            F.substring(groups, at + len(run), F.length(groups)))).otherwise(short)
-    return F.regexp_replace(short, r"^:(?!:)|(?<!:):$", "")
+    """Shorten the first of the longest runs of zero groups."""
+    return F.regexp_replace(F.regexp_replace(groups, _ZERO_RUN, _BEFORE_RUN), r"^:(?!:)|(?<!:):$", "")
 
 
 def _format(groups: Column) -> Column:
@@ -67,7 +62,7 @@ def _format(groups: Column) -> Column:
 
 def _hex_only(lowered: Column) -> Column:
     """A dotted tail rewritten as the two groups it stands for."""
-    return _let(
+    return let(
         F.regexp_extract(lowered, rf":({_V4})$", 1),
         lambda tail: F.when(tail == "", lowered).otherwise(
             F.concat(F.regexp_replace(lowered, rf"{_V4}$", ""), _hex_pair(tail))))
@@ -75,10 +70,10 @@ def _hex_only(lowered: Column) -> Column:
 
 def canonical_ip(text: Column) -> Column:
     """IPv6 text; IPv4 becomes ``::ffff:a.b.c.d``; empty, scoped or malformed becomes ``::``."""
-    groups = _let(
+    groups = let(
         _hex_only(F.lower(text)),
         lambda hexed: F.regexp_replace(_expand(hexed), ":0+(?=[0-9a-f])", ":"))
-    parsed = _let(groups, lambda g: F.when(g.isNotNull(), _format(g)).otherwise(F.lit("::")))
+    parsed = let(groups, lambda g: F.when(g.isNotNull(), _format(g)).otherwise(F.lit("::")))
     return (
         F.when(F.coalesce(text, F.lit("")) == "", F.lit("::"))
         .when(text.rlike(rf"^{_V4}$"), F.concat(F.lit("::ffff:"), text))

@@ -17,6 +17,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def unsigned(c: Column | str, bits: int = 64) -> Column:
     """Saturating conversion: negatives become 0, too large becomes the maximum."""
     floor = F.greatest(col(c).cast("bigint"), F.lit(0).cast("bigint"))

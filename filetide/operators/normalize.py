@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filetide.functions import columns as C
+from filetide.functions.columns import let
 from filetide.functions.addresses import canonical_ip
 from filetide.functions.fields import STRICT_JSON
 from filetide.schema import FIELDS, LAYOUT, RECORD, TIMESTAMP_KEY
@@ -34,36 +35,36 @@ def _read_json(body: Column, element: T.StructType) -> Column:
     return F.from_json(wrapped, shape, {**STRICT_JSON, "columnNameOfCorruptRecord": _BAD})
 
 
-def _suspect(record: Column) -> Column:
+def _bad_time(record: Column) -> Column:
     time = record[TIMESTAMP_KEY]
+    return time.isNotNull() & C.parse_rfc3339(time).isNull()
+
+
+def _suspect(record: Column) -> Column:
     texts = F.concat_ws("\n", *[record[k] for k in _TEXT_KEYS])
-    return texts.rlike(_NOT_PLAIN_TEXT) | (time.isNotNull() & C.parse_rfc3339(time).isNull())
+    return texts.rlike(_NOT_PLAIN_TEXT) | _bad_time(record)
 
 
-def _usable_part(body: Column) -> Column:
+def _usable_part(body: Column, bad_time: Column) -> Column:
     """The body without the values that do not count: text fields that hold something other than
     a string and, if the time is malformed, everything from the time on, where decoding stops.
     NULL when every value counts or the body is no JSON object."""
-    shape = T.StructType([T.StructField(k, T.VariantType()) for k in [TIMESTAMP_KEY, *_TEXT_KEYS]])
-    record = F.get(_read_json(body, shape)["message"], F.lit(0))
-
-    def kind(key):
-        return F.coalesce(F.schema_of_variant(record[key]), F.lit("VOID"))
-
-    mistyped = F.array_compact(F.array(*[
-        F.when(~kind(k).isin("STRING", "VOID"), F.lit(k)) for k in _TEXT_KEYS]))
-    time = F.try_variant_get(record[TIMESTAMP_KEY], "$", "string")
-    bad_time = (kind(TIMESTAMP_KEY) != "VOID") & (
-        (kind(TIMESTAMP_KEY) != "STRING") | C.parse_rfc3339(time).isNull())
+    values = F.from_json(body, T.MapType(T.StringType(), T.VariantType()), STRICT_JSON)
     keys = F.json_object_keys(body)
     late = F.when(bad_time, F.slice(
         keys, F.array_position(keys, TIMESTAMP_KEY).cast("int"), F.size(keys)))
-    ignored = F.concat(mistyped, F.coalesce(late, F.array().cast("array<string>")))
 
-    values = F.from_json(body, T.MapType(T.StringType(), T.VariantType()), STRICT_JSON)
-    kept = F.element_at(F.transform(F.array(ignored), lambda names: F.when(
-        F.size(names) > 0, F.map_filter(values, lambda k, _: ~F.array_contains(names, k)))), 1)
-    return F.to_json(kept)
+    def ignored(values):
+        mistyped = F.map_filter(values, lambda key, value: key.isin(_TEXT_KEYS)
+                                & ~F.schema_of_variant(value).isin("STRING", "VOID"))
+        return F.concat(F.map_keys(mistyped), F.coalesce(late, F.array().cast("array<string>")))
+
+    def without(values):
+        return let(ignored(values), lambda names: F.when(
+            F.size(names) > 0,
+            F.map_filter(values, lambda key, _: ~F.array_contains(names, key))))
+
+    return F.to_json(let(values, without))
 
 
 def parse_records(df: DataFrame, body: str = "body", observed: str | None = None) -> DataFrame:
@@ -79,7 +80,8 @@ def parse_records(df: DataFrame, body: str = "body", observed: str | None = None
     first = F.get(F.col("_parsed")["message"], F.lit(0))
     alone = F.coalesce(F.size(F.col("_parsed")["message"]) == 1, F.lit(False))
     parsed = df.withColumn("_parsed", _read_json(text, RECORD))
-    usable = parsed.withColumn("_usable", F.when(alone & _suspect(first), _usable_part(text)))
+    usable = parsed.withColumn("_usable", F.when(
+        alone & _suspect(first), _usable_part(text, _bad_time(first))))
     records = usable.select(
         *df.columns,
         F.when(F.col("_usable").isNotNull(), F.get(_read_json(F.col("_usable"), RECORD)["message"], F.lit(0)))

@@ -27,6 +27,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
         SparkSession.builder.master(f"local[{cores}]")
         .appName("filetide")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python line of every column expression costs more than small queries do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in conf.items():

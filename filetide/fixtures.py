@@ -85,7 +85,7 @@ def _wire() -> dict[str, Column]:
         "dirname1": top,
         "dirname2": directory,
         "logical_dirname": directory,
-        "protocol": F.lit("xroot"),
+        "protocol": F.lit("https"),
         "ipv6": F.col("l_linestatus") == "O",
         "filesize": size,
         "read_operations": quantity - 25,

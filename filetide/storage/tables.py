@@ -130,7 +130,11 @@ def _compact(rows: DataFrame, path: str, day_column: str, days: dict[date, int],
 
 
 def compact_raw(spark: SparkSession, root: str, days=None, clean: bool = True) -> list[date]:
-    """Collapses duplicates and small files, day by day; days already compact are left alone."""
+    """Collapses duplicates and small files, day by day; days already compact are left alone.
+
+    ``clean=False`` leaves the replaced directories to a later ``layout.vacuum``, for readers that
+    are still using them.
+    """
     prepare(spark)
     found = layout.raw_parts(spark, root, days)
     chosen = _open_days(found)

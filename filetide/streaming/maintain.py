@@ -89,19 +89,19 @@ def _rebuild(spark: SparkSession, root: str, specs, days, final: bool) -> list[d
 
 
 def refresh(spark: SparkSession, root: str, days: list[date] | None = None,
-            specs: tuple[RollupSpec, ...] = SPECS, clean: bool = True) -> list[date]:
+            specs: tuple[RollupSpec, ...] = SPECS) -> list[date]:
     """Rebuilds days of the rollups from deduplicated raw rows; by default the stale ones.
 
     Worth running on a schedule of its own: a day costs the same after one batch as after many.
+    What the last rebuild of a day replaced is removed now, so that a reader which began before a
+    rebuild still finds its files after it.
     """
     prepare(spark)
     if days is None:
         days = sorted({d for spec in specs for d in stale_days(spark, root, spec)})
-    done = _rebuild(spark, root, specs, days, final=True)
-    if clean:
-        for spec in specs:
-            layout.vacuum(spark, layout.table_path(root, spec.name), layout.ROLLUP_DAY, done)
-    return done
+    for spec in specs:
+        layout.vacuum(spark, layout.table_path(root, spec.name), layout.ROLLUP_DAY, days)
+    return _rebuild(spark, root, specs, days, final=True)
 
 
 def backfill(spark: SparkSession, root: str, spec: RollupSpec, start: date | None = None,

@@ -39,7 +39,9 @@ def record_batch(batch: DataFrame, batch_id: int, root: str) -> None:
 
 def record_commit(spark: SparkSession, batch_id: int, root: str, latency: float, committed: bool) -> None:
     """A committed batch is recorded once however often it is replayed; failures add up."""
-    row = spark.createDataFrame([(float(latency), committed, batch_id)], _COMMITS).coalesce(1)
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(float(latency)).alias("latency_seconds"), F.lit(committed).alias("committed"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"))
     writer = row.write.partitionBy("committed", "batch_id")
     if committed:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

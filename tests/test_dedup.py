@@ -16,7 +16,7 @@ def test_redelivery_collapses(spark):
 def test_latest_copy_wins_before_filters(spark):
     copies = raw(spark, [record()]).unionByName(raw(spark, [record(vo="new")], "2026-07-22 13:00:01"))
     assert rows(D.dedup_latest(copies).select("vo")) == [("new",)]
-    assert U.raw_spot_check(copies, "osg", "2026-07-22 12:30:00").count() == 0
+    assert U.raw_spot_check(copies, "physics", "2026-07-22 12:30:00").count() == 0
     assert U.raw_spot_check(copies, "new", "2026-07-22 12:30:00").count() == 1
 
 

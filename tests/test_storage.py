@@ -105,7 +105,7 @@ def test_days_and_columns_are_pruned(spark, root, batches):
     assert "event_date" in partition and "2026-07-22" in partition
     schema = next(line for line in text.splitlines() if line.startswith("ReadSchema"))
     assert "raw_json" not in schema and "filename" not in schema
-    states = plan(read_rollup(spark, root).filter("vo = 'osg'").select("events_state"))
+    states = plan(read_rollup(spark, root).filter("vo = 'physics'").select("events_state"))
     assert "batch_id" in next(line for line in states.splitlines() if line.startswith("PartitionFilters"))
 
 
@@ -154,3 +154,20 @@ def test_bucketed_tables_dedup_without_exchange(spark, tmp_path):
     latest = dedup_latest(spark.table("bucketed_raw"))
     assert latest.count() == 2
     assert "Exchange" not in plan(latest).split("\n\n")[0]
+
+
+def test_a_day_with_most_rows_is_split_over_files(spark, root):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
+    try:
+        rows = spark.range(40000, numPartitions=4).select(
+            F.expr("date_add(date'2026-01-01', cast(if(id % 3 = 0, id % 30, 0) as int))").alias("event_date"),
+            F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("vo"))
+        layout.write_parts(rows, layout.raw_path(root), layout.RAW_DAY, 0, order=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    written = spark.read.parquet(layout.raw_path(root))
+    files = dict(written.select("event_date", F.input_file_name().alias("f")).distinct()
+                 .groupBy("event_date").count().collect())
+    assert written.count() == 40000
+    assert files[date(2026, 1, 1)] > 4 and len(files) == 10

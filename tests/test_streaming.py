@@ -30,7 +30,7 @@ def test_three_messages_one_duplicate(spark, tmp_path):
     _run(spark, landing, root, check, mode=maintain.EXACT)
     assert read_raw(spark, root).count() == 4
     assert raw_view(spark, root).filter(~F.col("parse_error")).count() == 2
-    assert rows(R.totals(read_rollup(spark, root), ["vo"])) == [("", 1, 0, 0, 1), ("osg", 2, 300, 0, 2)]
+    assert rows(R.totals(read_rollup(spark, root), ["vo"])) == [("", 1, 0, 0, 1), ("physics", 2, 300, 0, 2)]
     totals = metrics.counters(metrics.read_batches(spark, root), metrics.read_commits(spark, root)).first()
     assert totals.asDict() == {"messages": 4, "parse_errors": 1, "rows_inserted": 4, "quarantined": 1,
                                "batches_committed": 3, "insert_failures": 0}

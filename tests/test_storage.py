@@ -160,7 +160,7 @@ def test_a_day_with_most_rows_is_split_over_files(spark, root):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
     try:
-        rows = spark.range(40000, numPartitions=4).select(
+        rows = spark.range(40000, numPartitions=16).select(
             F.expr("date_add(date'2026-01-01', cast(if(id % 3 = 0, id % 30, 0) as int))").alias("event_date"),
             F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("vo"))
         layout.write_parts(rows, layout.raw_path(root), layout.RAW_DAY, 0, order=["id"])

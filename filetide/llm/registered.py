@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,29 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.fingerprint import with_successor
+
+    return with_successor(documents(spark, sf_dir))
+
+
+def op8_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.neighbours import nearest
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id"), F.col("embedding").alias("vector"))
+    return nearest(vectors.filter(F.col("vec_id") % 20 == 0), vectors, 20)
+
+
+def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.language import held_out, learn, predict
+
+    docs = documents(spark, sf_dir)
+    model = learn(docs.filter(~held_out("doc_id")))
+    return predict(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -44,15 +44,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Prefixes:
+    """Hashes of any stretches of one byte string, each from two numbers of a running sum.
+
+    A stretch hashes to sum(TABLE[byte] * BASE ** position) modulo 2 ** 64, moved to position 0.
+    """
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+    TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+    powers = inverses = np.ones(1, np.uint64)
+
+    def __init__(self, raw: np.ndarray):
+        n = len(raw) + 1
+        if n > len(Prefixes.powers):
+            size = max(n, 1 << 20)
+            steps = np.full(size, self.BASE), np.full(size, self.INVERSE)
+            steps[0][0] = steps[1][0] = 1
+            Prefixes.powers, Prefixes.inverses = np.cumprod(steps[0]), np.cumprod(steps[1])
+        self.sums = np.zeros(n, np.uint64)
+        np.cumsum(self.TABLE[raw] * self.powers[: n - 1], out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverses[starts])
+
+
+def raw_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings, and the bounds of each. Nulls are empty."""
+    if strings.null_count:
+        strings = pc.fill_null(strings, "")
+    kind = np.int64 if pa.types.is_large_string(strings.type) else np.int32
+    bounds = np.frombuffer(strings.buffers()[1], kind)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    if not len(strings) or bounds[-1] == bounds[0]:
+        return np.zeros(0, np.uint8), np.zeros(len(strings) + 1, np.int64)
+    data = np.frombuffer(strings.buffers()[2], np.uint8)[bounds[0]:bounds[-1]]
+    return data, bounds - bounds[0]
+
+
 def word_hashes(words: pa.Array) -> np.ndarray:
-    """64-bit hashes of words; each distinct word is hashed once."""
-    import xxhash
-
-    coded = words.dictionary_encode()
-    distinct = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()),
-                           np.uint64, len(coded.dictionary))
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    return distinct[codes] if len(distinct) else np.zeros(0, np.uint64)
+    """64-bit hashes of words."""
+    raw, bounds = raw_bytes(words)
+    return Prefixes(raw).hashes(bounds[:-1], bounds[1:]) + mix(np.diff(bounds).astype(np.uint64))
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -26,6 +26,12 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.near import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), size=2)
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filetide.llm.fingerprint import with_successor
 

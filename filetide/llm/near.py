@@ -158,35 +158,117 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(own("a"), "a").join(own("b"), "b").mapInArrow(run, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = asked.join(classes.select("node", F.col("first_id").alias("doc_id")), "node")
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """node, its registers and its full set; texts move once, for all later comparisons."""
+    wanted = nodes.select("node").distinct().join(classes.withColumnRenamed("first_id", "doc_id"), "node")
     texts = docs.select("doc_id", "text").join(wanted, "doc_id")
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 sets = shingles(part.column("text"), size)
-                right = [digest(s) == n for s, n in zip(sets, part.column("node").to_pylist())]
-                found = pa.array([s.tobytes() for s, r in zip(sets, right) if r], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("node").filter(pa.array(right)), found], ["node", "hashes"])
+                right = pa.array([digest(s) == n for s, n in zip(sets, part.column("node").to_pylist())], pa.bool_())
+                found = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [x.filter(right) for x in (part.column("node"), part.column("registers"), found)],
+                    ["node", "registers", "hashes"])
+
+    return keep(texts.mapInArrow(run, "node binary, registers binary, hashes binary").dropDuplicates(["node"]), "sets")
+
 
-    sets = keep(texts.mapInArrow(run, "node binary, hashes binary").dropDuplicates(["node"]), "sets")
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     own = lambda side: sets.select(F.col("node").alias(side), F.col("hashes").alias(f"set_{side}"))
 
     def compare(batches):
         for batch in batches:
-            near = []
-            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(100 * both >= percent * (len(a) + len(b) - both))
+            near = [similar(*(np.frombuffer(x.as_buffer(), np.uint64) for x in two), percent)
+                    for two in zip(batch.column("set_a"), batch.column("set_b"))]
             yield pa.RecordBatch.from_arrays([batch.column(x).filter(pa.array(near, pa.bool_())) for x in "ab"], ["a", "b"])
 
     return pairs.join(own("a"), "a").join(own("b"), "b").mapInArrow(compare, "a binary, b binary")
 
 
+OUTSIDERS = 256
+MEMBERS = 2048
+
+
+def across(bands_open: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of one band: ``bands_open`` has key, node, component
+    and pivot_component. Those outside the pivot's component meet all members, block by block; a task
+    holds one block of each, whatever the size of the band, and only links leave it."""
+    counted = bands_open.groupBy("key").agg(
+        F.count_if(F.col("component") != F.col("pivot_component")).alias("outside"), F.count(F.lit(1)).alias("all"))
+    blocks = counted.select("key", F.ceil(F.col("outside") / OUTSIDERS).alias("i_blocks"),
+                            F.ceil(F.col("all") / MEMBERS).alias("j_blocks"))
+    rows = bands_open.join(blocks, "key").withColumn("h", F.xxhash64("node"))
+    i, j = F.pmod("h", "i_blocks"), F.pmod("h", "j_blocks")
+    every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    role = lambda is_member, here, i, j: here.select(
+        "key", i.alias("i"), j.alias("j"), F.lit(is_member).alias("member"), "node", "component")
+    dealt = role(True, rows, F.explode(every("i_blocks")), j).unionByName(
+        role(False, rows.filter(F.col("component") != F.col("pivot_component")), i, F.explode(every("j_blocks"))))
+    parts = max(int(bands_open.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = dealt.join(sets, "node").repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches):
+        for group in groups(batches, ["key", "i", "j"]):
+            found = block_links(group, percent)
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[n] for x in found], pa.binary()) for n in (0, 1)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def groups(batches, names: list[str]):
+    """Consecutive rows with equal ``names`` as tables."""
+    held = []
+    for batch in batches:
+        keys = np.column_stack([batch.column(n).to_numpy() for n in names])
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            piece = batch.slice(a, b - a)
+            if held and any(held[-1].column(n)[0] != piece.column(n)[0] for n in names):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(piece)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def block_links(group: pa.Table, percent: int) -> list[tuple[bytes, bytes]]:
+    member = group.column("member").to_numpy()
+    if member.all() or not member.any():
+        return []
+    nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
+    own = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("hashes")]
+    sizes = np.array([len(x) for x in sets])
+    code = np.unique(np.array(comps, object), return_inverse=True)[1]
+    inside = np.flatnonzero(member)
+    s, links, reached = percent / 100, [], {}
+    for o in np.flatnonzero(~member):
+        least = np.minimum(sizes[o], sizes[inside])
+        possible = (code[inside] != code[o]) & (100 * least >= percent * np.maximum(sizes[o], sizes[inside]))
+        near = inside[possible]
+        if not len(near):
+            continue
+        margin = SIGMAS * np.sqrt(s * (1 - s) / np.minimum(least[possible], REGISTERS))
+        value = estimates(own[near], own[o][None, :], sizes[near], sizes[o])
+        likely_first = np.argsort(-value, kind="stable")
+        for m in near[likely_first][(value >= s - margin)[likely_first]].tolist():
+            if code[m] not in reached.setdefault(code[o], set()) and similar(sets[o], sets[m], percent):
+                reached[code[o]].add(code[m])
+                links.append((nodes[o], nodes[m]))
+    return links
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id that links reach) and kept, for every row of
     ``docs`` (doc_id, text). Two documents are linked when 100 * intersection >= percent * union."""
@@ -199,26 +281,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         F.count(F.lit(1)).alias("n"), F.min(F.struct("first_id", "node")).alias("pivot")).filter("n > 1")
     shared = keep(in_bands.join(full.select("key", F.col("pivot.node").alias("pivot")), "key"), "shared")
 
-    first = keep(likely(shared.filter(F.col("node") != F.col("pivot")).select(
-        F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), classes, percent), "pairs")
-    links = keep(verified(first, classes, docs, size, percent), "confirmed")
+    sets = full_sets(shared, classes, docs, size)
+    first = likely(shared.filter(F.col("node") != F.col("pivot")).select(
+        F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), classes, percent)
+    links = keep(verified(first, sets, percent), "confirmed")
     label = components(links)
 
     # The rest: classes of one band that are still in different components.
-    own = lambda df: df.join(label, "node", "left").select(
-        "key", "node", "pivot", F.coalesce("component", "node").alias("component"))
-    labelled = keep(own(shared.select("key", "node", "pivot")), "labelled")
+    own = lambda name: label.select(F.col("node").alias(name), F.col("component").alias(f"{name}_component"))
+    labelled = keep(shared.join(own("node"), "node", "left").join(own("pivot"), "pivot", "left").select(
+        "key", "node", F.coalesce("node_component", "node").alias("component"),
+        F.coalesce("pivot_component", "pivot").alias("pivot_component")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
         F.col("low") != F.col("high")).select("key")
-    still_open = keep(labelled.join(mixed, "key").join(
-        classes.select("node", "n_shingles"), "node"), "open")
-    side = lambda x: still_open.select(
-        "key", F.col("node").alias(x), F.col("component").alias(f"c{x}"), F.col("n_shingles").alias(f"n{x}"), "pivot")
-    pairs = side("a").join(side("b").drop("pivot"), "key").filter(
-        (F.col("ca") < F.col("cb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        & (F.col("a") != F.col("pivot")) & (F.col("b") != F.col("pivot"))).select("a", "b").distinct()
-    second = keep(likely(pairs, classes, percent), "pairs")
-    more = keep(verified(second, classes, docs, size, percent), "confirmed")
+    more = keep(across(labelled.join(mixed, "key"), sets, percent), "confirmed")
     if not more.isEmpty():
         label = components(links.union(more))
     members = classes.select("node", "first_id").join(label, "node", "left").select(

@@ -32,6 +32,17 @@ def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), size=2)
 
 
+def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.secret_scan import KINDS, scan, written
+
+    found = scan(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "secrets")
+    of_kind = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == KINDS.index(kind))).cast("bigint")
+    return found.select(
+        "doc_id", of_kind("assign").alias("n_assign"), of_kind("access").alias("n_access"), of_kind("hex").alias("n_hex"),
+        F.sha2(written(F.filter("secrets", lambda x: x["kind"] < 3)).cast("binary"), 256).alias("base_sha256"),
+        written(F.col("secrets")).alias("spans"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filetide.llm.fingerprint import with_successor
 

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 EPSILON = 4.0
-QUERY_BLOCK = 1024
-VECTOR_BLOCK = 16_384
+QUERY_BLOCK = 512
+VECTOR_BLOCK = 8192
+MOST_TASKS = 20_000
 SEED = 11
 FOUND = "query_id long, vec_id long, score double"
 
@@ -83,13 +84,11 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
             near &= ~same
         else:
             near = ~same
-        row, column = np.nonzero(near)
-        score = np.einsum("ij,ij->i", part[row], vectors[column])
-        order = np.lexsort((ids[column], -score, row))
-        row, column, score = row[order], column[order], score[order]
-        begins = np.flatnonzero(np.diff(row, prepend=-1))
-        best = np.arange(len(row)) - np.repeat(begins, np.diff(begins, append=len(row))) < k
-        out.append((row[best] + a, ids[column[best]], score[best]))
+        for i, mine in enumerate(near):
+            column = np.flatnonzero(mine)
+            score = vectors[column] @ part[i]
+            best = np.lexsort((ids[column], -score))[:k]
+            out.append((np.full(len(best), a + i), ids[column[best]], score[best]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -112,6 +111,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, epsilon: float
     turn = rotation(dimensions, seed)
     asked = queries.count()
     many, few = -(-rows // VECTOR_BLOCK), max(1, -(-asked // QUERY_BLOCK))
+    tasks = min(2 * many * few, MOST_TASKS)
     numbered = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     left = queries.select(
         numbered(few, 1).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("v"), "vec_id", "vector")
@@ -133,6 +133,8 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, epsilon: float
         flat = vector.flatten().to_numpy(zero_copy_only=False)
         return table.column("vec_id").to_numpy().astype(np.int64), flat.reshape(-1, dimensions)
 
+    # Few bytes, much work: a stated number of partitions is not made smaller for small tables.
+    left, right = (x.repartition(tasks, "q", "v") for x in (left, right))
     found = left.groupBy("q", "v").cogroup(right.groupBy("q", "v")).applyInArrow(block, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(

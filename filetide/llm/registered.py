@@ -26,6 +26,14 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.private import FORMATS, pseudonymise
+
+    done = pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), "a key that stays with its owner")
+    of_kind = lambda kind: F.size(F.filter("private", lambda x: x == kind)).cast("bigint").alias(f"n_{kind}")
+    return done.select("doc_id", "text", *[of_kind(kind) for kind in FORMATS])
+
+
 def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filetide.llm.near import near_duplicates
 

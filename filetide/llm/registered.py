@@ -74,6 +74,12 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op10_line_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.lines import without_repeats
+
+    return without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

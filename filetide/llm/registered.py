@@ -40,6 +40,14 @@ def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), size=2)
 
 
+def op4_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.repeats import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filetide.llm.secret_scan import KINDS, scan, written
 

@@ -173,9 +173,11 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 7) -> M
 SPAN = "array<struct<start:long,end:long,lang:string>>"
 
 
-def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of docs (doc_id by default) with lang_pred, score (the share of the letters that are
-    in spans of that language) and spans: start and end as word numbers, end exclusive."""
+def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list[str] | None = None,
+            names: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
+    """``columns`` of docs (doc_id by default) with three more: the language, a score (the share of the
+    letters that are in spans of that language) and the spans: start and end as word numbers, end
+    exclusive."""
     columns = columns or ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.uses))
 
@@ -186,16 +188,16 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list
                 yield add(part, model)
 
     def add(part, model):
-        names, found, spans = predict_texts(part.column("__text"), model, switch)
+        languages, found, spans = predict_texts(part.column("__text"), model, switch)
         kept = part.drop_columns(["__text"])
         return pa.RecordBatch.from_arrays(
-            [*kept.columns, pa.array(names, pa.string()), pa.array(found, pa.float64()), pa.array(spans, pa.list_(
+            [*kept.columns, pa.array(languages, pa.string()), pa.array(found, pa.float64()), pa.array(spans, pa.list_(
                 pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])))],
-            [*kept.schema.names, "lang_pred", "score", "spans"])
+            [*kept.schema.names, *names])
 
     kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text")
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double, spans {SPAN}")
+    return kept.mapInArrow(run, f"{fields}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` {SPAN}")
 
 
 def predict_texts(texts: pa.Array, model: Model, switch: float = SWITCH):

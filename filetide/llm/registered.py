@@ -59,6 +59,28 @@ def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
         written(F.col("secrets")).alias("spans"))
 
 
+LANGUAGE_WEIGHTS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def mixing_levels() -> dict:
+    """Four domains, by a hash of the source, then language, then source."""
+    return {"domain": F.concat(F.lit("domain"), F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4),
+            "lang": F.col("lang"), "source": F.col("source")}
+
+
+def mixing_weight(path: tuple) -> float:
+    """Equal domains, stated languages (others as the least of them), equal sources."""
+    return LANGUAGE_WEIGHTS.get(path[1], 0.2) if len(path) == 2 else 1.0
+
+
+def op6_hierarchical_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.mixing import mix
+
+    mixed = mix(documents(spark, sf_dir), mixing_levels(), mixing_weight, share=0.7, epochs=2)
+    return mixed.select("doc_id", F.col("__epoch").alias("epoch"), F.col("__tokens").alias("tokens"),
+                        F.col("__leaf").alias("leaf"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filetide.llm.fingerprint import with_successor
 

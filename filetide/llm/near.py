@@ -111,7 +111,8 @@ def digest(s: np.ndarray) -> bytes | None:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """key, node and first_id: a row for each class and band."""
+    """key and id: a row for each class and band. Ids are short, since these rows are many; classes that
+    share one by accident only become candidates together."""
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -122,10 +123,9 @@ def bands(classes: DataFrame) -> DataFrame:
                     keys = mix(keys * np.uint64(3) + rows[:, :, i])
                 take = np.repeat(np.arange(len(rows)), BANDS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel().view(np.int64)), part.column("node").take(pa.array(take)),
-                     part.column("first_id").take(pa.array(take))], ["key", "node", "first_id"])
+                    [pa.array(keys.ravel().view(np.int64)), part.column("id").take(pa.array(take))], ["key", "id"])
 
-    return classes.select("node", "first_id", "registers").mapInArrow(run, "key long, node binary, first_id long")
+    return classes.select(F.xxhash64("node").alias("id"), "registers").mapInArrow(run, "key long, id long")
 
 
 def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -277,10 +277,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers")), "classes")
     in_bands = bands(classes)
-    full = in_bands.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("first_id", "node")).alias("pivot")).filter("n > 1")
-    shared = keep(in_bands.join(full.select("key", F.col("pivot.node").alias("pivot")), "key"), "shared")
-
+    common = in_bands.groupBy("key").count().filter("count > 1").select("key")
+    together = keep(in_bands.join(common, "key"), "together").join(
+        classes.select(F.xxhash64("node").alias("id"), "node", "first_id"), "id").select("key", "node", "first_id")
+    pivots = together.groupBy("key").agg(F.min(F.struct("first_id", "node")).alias("pivot"))
+    shared = keep(together.join(pivots, "key").select("key", "node", F.col("pivot.node").alias("pivot")), "shared")
     sets = full_sets(shared, classes, docs, size)
     first = likely(shared.filter(F.col("node") != F.col("pivot")).select(
         F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), classes, percent)

@@ -25,6 +25,9 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Nothing refers to the job's shuffles any more; Spark's cleaner drops their files once the driver
+    # has collected its garbage, which may be long after disks are full.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ BUCKETS = 1 << 17
 PER_LANGUAGE = 4000  # about so many documents of each language are learned from
 SHARE = 0.01  # a language uses a script that has this share of its letters
 SWITCH = 8.0
-OUTSIDE = -30.0  # the score of a word for a language that does not use its script
+OUTSIDE = -30.0  # the score of a word, against the best, for a language that does not use its script
 
 
 def script_of(points: np.ndarray) -> np.ndarray:
@@ -85,8 +85,8 @@ class Model:
             for part in buckets:
                 scores[:, n] += np.add.reduceat(own[part], bounds) if len(bounds) else 0
         allowed = self.uses[:, table.argmax(axis=1)].T
+        scores -= np.where(allowed, scores, -np.inf).max(axis=1, keepdims=True, initial=-1e9)
         scores[~allowed] = np.float32(OUTSIDE)
-        scores -= scores.max(axis=1, keepdims=True)
         scores[~allowed.any(axis=1) | (letters == 0)] = 0
         return scores, letters
 

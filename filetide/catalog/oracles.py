@@ -202,16 +202,28 @@ def oracle_sql() -> dict[str, str]:
     q["snk5_bucketed_dedup"] = f"{EVENTS} SELECT event_id, event_time, vo FROM final"
     q["snk6_quarantine"] = f"""{EVENTS} SELECT source_exchange, CAST(recv_time AS DATE) AS event_date,
       count(*) AS "rows" FROM access WHERE cut GROUP BY ALL"""
-    q["snk7_day_guard"] = f"""SELECT 'access' AS batch, count(DISTINCT {_DAY}) > 100 AS refused
-      FROM ({ACCESS} SELECT event_time FROM access)
-      UNION ALL SELECT 'events', count(DISTINCT {_DAY}) > 100 FROM ({EVENTS} SELECT event_time FROM access)"""
-    q["snk8_ensure_tables"] = f"""{EVENTS} SELECT {_DAY} AS event_date, count(*) AS "rows" FROM access GROUP BY 1"""
-    q["ret1_expire_raw"] = f"""{EVENTS} SELECT {_DAY} AS event_date, count(*) AS "rows" FROM access
-      WHERE date_trunc('second', event_time) + INTERVAL 60 DAY > TIMESTAMP '2024-03-11 12:00:00' GROUP BY 1"""
-    q["ret2_expire_rollup"] = f"""{EVENTS} SELECT {_HOUR} AS hour, count(*) AS events FROM final
-      WHERE {_HOUR} + INTERVAL 2 YEAR > TIMESTAMP '2026-01-15 06:00:00' GROUP BY 1"""
-    q["ret3_longer_retention"] = f"""{EVENTS} SELECT {_DAY} AS event_date, count(*) AS "rows" FROM access
-      WHERE date_trunc('second', event_time) + INTERVAL 90 DAY > TIMESTAMP '2024-04-04 18:00:00' GROUP BY 1"""
+    q["snk7_many_days"] = f"""{EVENTS} SELECT count(*) AS "rows", count(DISTINCT event_id) AS events,
+      CAST(sum("read") AS BIGINT) AS bytes_read, true AS many_days, CAST(0 AS BIGINT) AS misplaced FROM access"""
+    q["snk8_ensure_tables"] = f"""{EVENTS}, counted AS (
+        SELECT (SELECT count(*) FROM access) AS copies, (SELECT count(*) FROM final) AS events)
+      SELECT 'raw' AS "of", 'refreshed' AS step, copies AS n FROM counted
+      UNION ALL SELECT 'raw', UNNEST(['interrupted', 'compacted']), events FROM counted
+      UNION ALL SELECT 'rollup', UNNEST(['refreshed', 'interrupted', 'compacted']), events FROM counted"""
+    q["snk9_two_jobs"] = f"""{EVENTS} SELECT {stored_day} AS event_date, source_exchange, 2 * count(*) AS "rows"
+      FROM access GROUP BY ALL"""
+    day_end = f"CAST({_DAY} AS TIMESTAMP) + INTERVAL 86399 SECOND"
+    q["ret1_expire_raw"] = f"""{EVENTS} SELECT {_DAY} AS event_date, count(*) AS stored, nullif(count(*) FILTER (
+        date_trunc('second', event_time) + INTERVAL 60 DAY > TIMESTAMP '2024-03-11 12:00:00'), 0) AS shown
+      FROM final WHERE {day_end} + INTERVAL 60 DAY > TIMESTAMP '2024-03-11 12:00:00' GROUP BY 1"""
+    q["ret2_expire_rollup"] = f"""{EVENTS} SELECT {_HOUR} AS hour, count(*) AS events,
+      {_HOUR} + INTERVAL 2 YEAR > TIMESTAMP '2026-01-15 06:00:00' AS shown FROM final
+      WHERE CAST({_DAY} AS TIMESTAMP) + INTERVAL 2 YEAR + INTERVAL 23 HOUR > TIMESTAMP '2026-01-15 06:00:00'
+      GROUP BY 1"""
+    q["ret3_longer_retention"] = f"""{EVENTS} SELECT {_DAY} AS event_date, count(*) AS "rows" FROM final
+      WHERE {day_end} + INTERVAL 90 DAY > TIMESTAMP '2024-04-04 18:00:00' GROUP BY 1"""
+    for again in ("refresh", "backfill"):
+        q[f"ret4_late_{again}"] = f"""{EVENTS} SELECT {_HOUR} AS hour,
+          count(*) + count(*) FILTER (event_time < TIMESTAMP '2024-01-09 00:00:00') AS events FROM final GROUP BY 1"""
 
     # Aggregation and rollups
     q["agg1_hourly_rollup"] = _rollup(ACCESS, "final", _HOUR, "hour", _ACCESS_DIMS)

@@ -19,9 +19,10 @@ from filetide.plans import usage as U
 from filetide.session import prepare, workspace
 from filetide.sources.messages import read_messages, union_sources
 from filetide.sources.tables import raw_view, read_raw, read_rollup
-from filetide.storage import layout, retention, tables
+from filetide.storage import layout, tables
 from filetide.streaming import maintain, metrics
-from filetide.streaming.ingest import write_raw
+from filetide.streaming.ingest import commit_batch, write_raw
+from filetide.streaming.upkeep import upkeep
 
 FILES_PER_BATCH = 64
 
@@ -306,46 +307,105 @@ def snk6_quarantine(spark, sf_dir):
     return D.count_by(tables.read_quarantine(spark, _streamed(spark, sf_dir)), "source_exchange", "event_date")
 
 
-def snk7_day_guard(spark, sf_dir):
-    outcome = []
-    for name, rows in (("access", _raw(spark, sf_dir)), ("events", X.event_records(spark, sf_dir))):
-        try:
-            tables.touched_days(rows.withColumn("event_date", F.to_date("event_time")))
-            outcome.append((name, False))
-        except tables.TooManyDays:
-            outcome.append((name, True))
-    return spark.createDataFrame(outcome, "batch string, refused boolean")
+def snk7_many_days(spark, sf_dir):
+    """One batch of many days between the years 1250 and 9000, of which every row is stored."""
+    root = workspace(prepare(spark), "days")
+    rows = X.event_records(spark, sf_dir)
+    number = F.abs(F.hash("event_id")) % 150
+    days = F.lit(86400).cast("bigint") * (number * 19000 - 282000)
+    commit_batch(rows.withColumn("event_time", F.timestamp_seconds(F.unix_seconds("event_time") + days)), 0, root)
+    stored = read_raw(spark, root)
+    return stored.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"),
+                      F.sum("read").alias("bytes_read"), (F.count_distinct("event_date") > 100).alias("many_days"),
+                      F.count_if(F.to_date("event_time") != F.col("event_date")).alias("misplaced"))
+
+
+def _catalog_counts(spark, root, step, database):
+    tables.ensure_tables(spark, root, database)
+    raw = spark.table(f"{database}.raw").agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit("raw"))
+    hourly = spark.table(f"{database}.rollup_hourly").agg(
+        F.sum("events_state").cast("bigint").alias("n")).withColumn("of", F.lit("rollup"))
+    return raw.unionByName(hourly).withColumn("step", F.lit(step))
 
 
 def snk8_ensure_tables(spark, sf_dir):
-    root = _stored(spark, sf_dir)
+    """What the catalog counts after refreshes, after an interrupted compaction and after a whole one."""
+    root = _own_copy(spark, sf_dir, "catalog")
     database = "filetide_" + root.rsplit("-", 1)[-1]
-    for _ in range(2):
-        tables.ensure_tables(spark, root, database)
-    return D.count_by(spark.table(f"{database}.raw"), "event_date")
+    maintain.refresh(spark, root)
+    days = layout.stored_days(spark, layout.raw_path(root), layout.RAW_DAY)
+    maintain.refresh(spark, root, days[:5])
+    found = [_kept(_catalog_counts(spark, root, "refreshed", database), root, 1)]
+    tables.compact_raw(spark, root, clean=False)
+    found.append(_kept(_catalog_counts(spark, root, "interrupted", database), root, 2))
+    tables.compact_raw(spark, root)
+    tables.compact_rollup(spark, root, R.HOURLY)
+    found.append(_catalog_counts(spark, root, "compacted", database))
+    return found[0].union(found[1]).union(found[2])
+
+
+def _kept(df, root, number):
+    """A result as it is now, before the tables change again."""
+    df.write.parquet(f"{root}/_results/{number}")
+    return df.sparkSession.read.parquet(f"{root}/_results/{number}")
+
+
+def snk9_two_jobs(spark, sf_dir):
+    """Two ingest jobs on one table, each stopped and started again without any argument."""
+    root = workspace(prepare(spark), "jobs")
+    for delivery in (1, 2):
+        for job in ("a", "b"):
+            X.land_messages(spark, sf_dir, f"{root}/landing-{job}", delivery)
+            stream = read_messages(spark, f"{root}/landing-{job}", max_files=FILES_PER_BATCH)
+            write_raw(stream, root, f"{root}/checkpoint-{job}", {"availableNow": True}, mode=None).awaitTermination()
+    return D.count_by(read_raw(spark, root), "event_date", "source_exchange")
 
 
-def _expired_raw(spark, sf_dir, as_of, days):
+def _after_upkeep(spark, sf_dir, as_of, days):
     root = _own_copy(spark, sf_dir, "expired")
-    retention.expire_raw(spark, root, as_of, days)
-    return D.count_by(retention.unexpired_raw(read_raw(spark, root), as_of, days), "event_date")
+    upkeep(spark, root, as_of, specs=(R.HOURLY,), raw_days=days)
+    return root
 
 
 def ret1_expire_raw(spark, sf_dir):
-    return _expired_raw(spark, sf_dir, "2024-03-11 12:00:00", 60)
+    """What is stored after upkeep: the boundary day is still whole, a reader hides its expired part."""
+    as_of = "2024-03-11 12:00:00"
+    root = _after_upkeep(spark, sf_dir, as_of, 60)
+    stored = D.count_by(read_raw(spark, root), "event_date", name="stored")
+    shown = D.count_by(read_raw(spark, root, as_of=as_of), "event_date", name="shown")
+    return stored.join(shown, "event_date", "left")
 
 
 def ret2_expire_rollup(spark, sf_dir):
-    root = _own_copy(spark, sf_dir, "expired")
-    maintain.refresh(spark, root, specs=(R.HOURLY,))
     as_of = "2026-01-15 06:00:00"
-    retention.expire_rollup(spark, root, R.HOURLY, as_of)
-    kept = retention.unexpired_rollup(read_rollup(spark, root, R.HOURLY), R.HOURLY, as_of)
-    return _ntz(R.totals(kept, ["hour"], R.HOURLY, ["events"]))
+    root = _after_upkeep(spark, sf_dir, as_of, 100_000)
+    stored = R.totals(read_rollup(spark, root, R.HOURLY), ["hour"], R.HOURLY, ["events"])
+    shown = read_rollup(spark, root, R.HOURLY, as_of=as_of).select("hour").distinct().withColumn("shown", F.lit(True))
+    return _ntz(stored.join(shown, "hour", "left").select("hour", "events", F.coalesce("shown", F.lit(False)).alias("shown")))
+
+
+def _late(spark, sf_dir, again) -> DataFrame:
+    """Rows arrive for days whose raw rows have been rolled up and dropped."""
+    root = _own_copy(spark, sf_dir, "late")
+    upkeep(spark, root, "2024-03-11 12:00:00")
+    late = X.event_records(spark, sf_dir).filter(F.col("event_time") < "2024-01-09 00:00:00")
+    late = D.dedup_latest(late).withColumn("event_id", F.reverse("event_id"))
+    tables.append_raw(late, root, 50)
+    again(spark, root)
+    again(spark, root)
+    return _ntz(R.totals(read_rollup(spark, root), ["hour"], R.HOURLY, ["events"]))
+
+
+def ret4_late_refresh(spark, sf_dir):
+    return _late(spark, sf_dir, maintain.refresh)
+
+
+def ret4_late_backfill(spark, sf_dir):
+    return _late(spark, sf_dir, lambda spark, root: maintain.backfill(spark, root, R.HOURLY))
 
 
 def ret3_longer_retention(spark, sf_dir):
-    return _expired_raw(spark, sf_dir, "2024-04-04 18:00:00", 90)
+    return D.count_by(read_raw(spark, _after_upkeep(spark, sf_dir, "2024-04-04 18:00:00", 90)), "event_date")
 
 
 # Aggregation and rollups
@@ -493,8 +553,8 @@ QUERIES = [
     nrm7_flags, nrm8_server_ip, nrm9_event_id, nrm10_operation, nrm11_buckets, nrm12_json_string,
     ddp1_dedup_latest, ddp2_raw_view, ddp3_compact_raw, ddp4_drop_recent_duplicates, ddp5_duplicate_report,
     ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout,
-    snk5_bucketed_dedup, snk6_quarantine, snk7_day_guard, snk8_ensure_tables, ret1_expire_raw,
-    ret2_expire_rollup, ret3_longer_retention, agg1_hourly_rollup, agg1_hourly_as_inserted,
+    snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs,
+    ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
     agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg6_incremental,
     agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg8_compact_rollup, agg9_backfill,
     agg10_weekly_by_site, agg11_count_by, q1_usage_by_vo, q1_usage_by_vo_as_inserted, q2_server_series,

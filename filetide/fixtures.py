@@ -22,18 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """A table read in fewer splits than there are cores, spread over the cores. Larger tables
-    are left as they are read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined tables with one row per delivery; Spark chooses the joins."""
     lineitem, orders, customer, supplier, part, nation = (table(spark, sf_dir, t) for t in TABLES)
     joined = (
-        _spread(lineitem, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -152,7 +145,7 @@ def access_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
     copies = F.when(key % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    events = _spread(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     return events.withColumn("delivery", F.explode(copies)).select(
         F.col("event_id").alias("number"), "delivery", "event_type", "user_id", "value", "props",
         F.date_trunc("MILLISECOND", F.col("ts").cast("timestamp")).alias("event_time"))

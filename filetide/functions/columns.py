@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 U32_MAX = (1 << 32) - 1
 U16_MAX = (1 << 16) - 1
-# Last second the reference's millisecond time type can hold (2299-12-31 23:59:59).
-LAST_SECOND = 10413791999
+# First and last second that the table's millisecond time type holds: 1900-01-01 and 2299-12-31 23:59:59.
+FIRST_SECOND, LAST_SECOND = -2208988800, 10413791999
 
 RFC3339 = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)$"
 
@@ -52,14 +52,17 @@ def milliseconds(c: Column | str) -> Column:
 
 
 def event_time(timestamp: Column, end_time: Column, start_time: Column, received: Column) -> Column:
-    """The message's own time, else its close time, else its open time, else when it arrived."""
+    """The message's own time, else its close time, else its open time, else when it arrived; kept
+    within the range of the table's type, whichever it is."""
     zero = F.lit("0001-01-01T00:00:00Z").cast("timestamp")
-    return milliseconds(F.coalesce(
+    time = F.coalesce(
         F.nullif(timestamp, zero),
         F.when(end_time > 0, unix_time(end_time)),
         F.when(start_time > 0, unix_time(start_time)),
         received,
-    ))
+    )
+    last = F.timestamp_micros(F.lit(LAST_SECOND * 1_000_000 + 999_000))
+    return milliseconds(F.least(F.greatest(time, F.timestamp_seconds(F.lit(FIRST_SECOND))), last))
 
 
 def operation(written: Column | str = "write") -> Column:

@@ -35,12 +35,16 @@ def duplicate_report(df: DataFrame, keys=EVENT_KEY) -> DataFrame:
 
 def excess_by_source(df: DataFrame, keys=EVENT_KEY, version: str = VERSION, tiebreak=TIEBREAK) -> DataFrame:
     """Rows per source, rows that survive dedup, and the excess between the two."""
-    total = df.groupBy("source_exchange").agg(F.count(F.lit(1)).alias("rows"))
-    final = dedup_latest(df, keys, version, tiebreak).groupBy("source_exchange").agg(
-        F.count(F.lit(1)).alias("final_rows"))
-    kept = F.coalesce("final_rows", F.lit(0)).cast("bigint")
-    return total.join(final, "source_exchange", "left").select(
-        "source_exchange", "rows", kept.alias("final_rows"), (F.col("rows") - kept).alias("excess"))
+    # Each key's copies by source, with the best of each source: one pass, and no row for a copy.
+    best = F.max(F.struct(*[F.col(c) for c in (version, *_present(df, tiebreak))]))
+    by_source = df.groupBy(*keys, "source_exchange").agg(F.count(F.lit(1)).alias("copies"), best.alias("best"))
+    of_key = by_source.groupBy(*keys).agg(
+        F.max(F.struct("best", "source_exchange"))["source_exchange"].alias("winner"),
+        F.collect_list(F.struct("source_exchange", "copies")).alias("sources"))
+    each = of_key.select("winner", F.inline("sources"))
+    return each.groupBy("source_exchange").agg(
+        F.sum("copies").alias("rows"), F.count_if(F.col("winner").eqNullSafe(F.col("source_exchange"))).alias("final_rows")
+    ).select("source_exchange", "rows", "final_rows", (F.col("rows") - F.col("final_rows")).alias("excess"))
 
 
 def drop_recent_duplicates(stream: DataFrame, horizon: str, keys=EVENT_KEY, time: str = "event_time") -> DataFrame:

@@ -11,8 +11,7 @@ from filetide.functions import columns as C
 from filetide.functions import states as S
 from filetide.schema import ROLLUP_DIMENSIONS
 
-# Where a final merge may gather states from more tasks than this, merging goes in two levels.
-ONE_LEVEL_PARTITIONS = 64
+# Merging to fewer keys than states are kept by goes in two levels over so many salts.
 SALTS = 32
 
 
@@ -65,13 +64,6 @@ def _merge(spec: RollupSpec, measures) -> list[Column]:
     return [one(name).alias(state(name)) for name in measures]
 
 
-def _salts(df: DataFrame, salts: int | None) -> int:
-    if salts is not None:
-        return salts
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return 1 if partitions <= ONE_LEVEL_PARTITIONS else SALTS
-
-
 def _group(df: DataFrame, keys, first: list[Column], again: list[Column], salts: int) -> DataFrame:
     """Group once, or first by key and salt and then by key.
 
@@ -86,14 +78,14 @@ def _group(df: DataFrame, keys, first: list[Column], again: list[Column], salts:
     return salted.groupBy(*keys, "_salt").agg(*first).groupBy(*keys).agg(*again)
 
 
-def rollup(df: DataFrame, spec: RollupSpec = HOURLY, salts: int | None = None) -> DataFrame:
+def rollup(df: DataFrame, spec: RollupSpec = HOURLY, salts: int = 1) -> DataFrame:
     """States of ``spec`` from raw rows: the bucket, the dimensions, one state per measure."""
     rows = df.withColumn(spec.time, C.bucket("event_time", spec.grain))
     if "operation" in spec.dims:
         rows = rows.withColumn("operation", C.operation())
     sources = [*spec.sums.values(), *spec.distinct.values()]
     rows = rows.select(*dict.fromkeys([*spec.keys, *sources]))
-    return _group(rows, spec.keys, _build(spec), _merge(spec, spec.measures), _salts(df, salts))
+    return _group(rows, spec.keys, _build(spec), _merge(spec, spec.measures), salts)
 
 
 def coarsen(states: DataFrame, fine: RollupSpec, coarse: RollupSpec, salts: int | None = None) -> DataFrame:
@@ -104,11 +96,14 @@ def coarsen(states: DataFrame, fine: RollupSpec, coarse: RollupSpec, salts: int
 
 def merge_states(states: DataFrame, keys, spec: RollupSpec = HOURLY, measures=None,
                  salts: int | None = None) -> DataFrame:
-    """States merged per ``keys``; only the states of ``measures`` are read."""
+    """States merged per ``keys``; only the states of ``measures`` are read. By default in two levels
+    if keys are left out, since a result then gathers states from everywhere."""
     wanted = list(measures or spec.measures)
     narrow = states.select(*keys, *[state(m) for m in wanted])
     merged = _merge(spec, wanted)
-    return _group(narrow, keys, merged, merged, _salts(states, salts))
+    if salts is None:
+        salts = 1 if set(spec.keys) <= set(keys) else SALTS
+    return _group(narrow, keys, merged, merged, salts)
 
 
 def finalize(states: DataFrame, spec: RollupSpec = HOURLY, measures=None) -> DataFrame:

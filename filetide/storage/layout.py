@@ -23,9 +23,6 @@ from filetide.schema import RAW_TABLE
 RAW = "raw"
 RAW_DAY = "event_date"
 ROLLUP_DAY = "bucket_date"
-# Batches of many days would otherwise fail late, with thousands of directories written.
-MAX_DAYS_PER_BATCH = 100
-
 
 class Part(NamedTuple):
     day: date
@@ -49,7 +46,7 @@ def rollup_schema(spec: RollupSpec) -> T.StructType:
     return T.StructType(fields)
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
@@ -58,13 +55,21 @@ def day_path(path: str, day_column: str, day: date) -> str:
     return f"{path}/{day_column}={day.isoformat()}"
 
 
+def stored_days(spark: SparkSession, path: str, day_column: str, start: date | None = None,
+                end: date | None = None) -> list[date]:
+    """Days from ``start`` to ``end``, both included, that have a folder; their contents are not listed."""
+    fs, target = filesystem(spark, f"{path}/{day_column}=*")
+    days = [date.fromisoformat(s.getPath().getName().split("=", 1)[1]) for s in fs.globStatus(target) or []]
+    return sorted(d for d in days if (start is None or d >= start) and (end is None or d <= end))
+
+
 def parts(spark: SparkSession, path: str, day_column: str, days=None) -> list[Part]:
     """Partition directories, of all or some days: as many as the days times their open batches."""
     folders = [f"{path}/{day_column}=*"] if days is None else [
         day_path(path, day_column, d) for d in sorted(days)]
     found = []
     for folder in folders:
-        fs, target = _filesystem(spark, f"{folder}/merged=*/batch_id=*")
+        fs, target = filesystem(spark, f"{folder}/merged=*/batch_id=*")
         for status in fs.globStatus(target) or []:
             where = status.getPath().toString()
             day, merged, batch = (piece.split("=", 1)[1] for piece in where.split("/")[-3:])
@@ -73,17 +78,17 @@ def parts(spark: SparkSession, path: str, day_column: str, days=None) -> list[Pa
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, target = _filesystem(spark, path)
+    fs, target = filesystem(spark, path)
     fs.delete(target, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _filesystem(spark, path)
+    fs, target = filesystem(spark, path)
     return fs.exists(target)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
-    fs, target = _filesystem(spark, path)
+    fs, target = filesystem(spark, path)
     fs.mkdirs(target)
 
 
@@ -115,20 +120,18 @@ def by_day(values: dict[date, int], day_column: str) -> Column:
 def read_parts(spark: SparkSession, path: str, schema: T.StructType, day_column: str,
                days=None) -> DataFrame:
     """The rows a reader should see, of all days or only of ``days``, whose folders alone are
-    listed then. The rule uses partition columns only, so directories that a merged result
-    replaces are pruned before anything is opened."""
-    found = parts(spark, path, day_column, days)
-    if not found:
+    listed then. Directories that a merged result replaces are left out by name."""
+    shown = visible(parts(spark, path, day_column, days))
+    if not shown:
         return spark.createDataFrame([], schema)
-    folders = [path] if days is None else [
-        day_path(path, day_column, d) for d in sorted({p.day for p in found})]
-    rows = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[p.path for p in shown])
+
+
+def visible(found: list[Part]) -> list[Part]:
+    """Per day the highest merged result and the batches after it."""
     through = merged_through(found)
-    if not through:
-        return rows
-    covered = F.coalesce(by_day(through, day_column), F.lit(-1))
-    return rows.filter((F.col("batch_id") > covered)
-                       | ((F.col("merged") == 1) & (F.col("batch_id") == covered)))
+    return [p for p in found if p.day not in through or p.batch_id > through[p.day]
+            or (p.merged and p.batch_id == through[p.day])]
 
 
 def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int = 0,
@@ -151,15 +154,29 @@ def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int
 def vacuum(spark: SparkSession, path: str, day_column: str, days=None) -> list[str]:
     """Removes the directories that merged results replace."""
     found = parts(spark, path, day_column, days)
-    through = merged_through(found)
-    stale = [p.path for p in found
-             if p.day in through and (p.batch_id < through[p.day]
-                                      or (p.batch_id == through[p.day] and not p.merged))]
+    shown = set(visible(found))
+    stale = [p.path for p in found if p not in shown]
     for where in stale:
         delete(spark, where)
     return stale
 
 
+def expired_through(spark: SparkSession, root: str) -> date | None:
+    """The last day up to which raw rows have been dropped."""
+    fs, target = filesystem(spark, f"{root}/_expired/through=*")
+    days = [date.fromisoformat(s.getPath().getName().split("=", 1)[1]) for s in fs.globStatus(target) or []]
+    return max(days, default=None)
+
+
+def note_expiry(spark: SparkSession, root: str, day: date) -> None:
+    """Written before rows are dropped, so that no rebuild takes what is left for the whole."""
+    before = expired_through(spark, root)
+    if before is None or day > before:
+        make_folder(spark, f"{root}/_expired/through={day.isoformat()}")
+        if before is not None:
+            delete(spark, f"{root}/_expired/through={before.isoformat()}")
+
+
 def raw_path(root: str) -> str:
     return table_path(root, RAW)
 

@@ -45,22 +45,25 @@ def add_years(day: date, years: int) -> date:
         return day.replace(year=day.year + years, day=28)
 
 
-def _drop_days(spark: SparkSession, path: str, day_column: str, expired) -> list[date]:
-    found = layout.parts(spark, path, day_column)
-    gone = sorted({p.day for p in found if expired(p.day)})
+def _drop_days(spark: SparkSession, path: str, day_column: str, expired, note=None) -> list[date]:
+    gone = [day for day in layout.stored_days(spark, path, day_column) if expired(day)]
+    if gone and note is not None:
+        note(gone[-1])
     for day in gone:
         layout.delete(spark, f"{path}/{day_column}={day.isoformat()}")
     return gone
 
 
 def expire_raw(spark: SparkSession, root: str, as_of, days: int = RAW_DAYS) -> list[date]:
-    """Drops the days all of whose rows have expired; returns them."""
+    """Drops the days all of whose rows have expired; returns them. Rollups of these days are no
+    longer rebuilt: rows that still arrive for them are added to what is there."""
     now = _moment(as_of)
 
     def expired(day: date) -> bool:
         return datetime.combine(day, time(23, 59, 59)) + timedelta(days=days) <= now
 
-    return _drop_days(spark, layout.raw_path(root), layout.RAW_DAY, expired)
+    return _drop_days(spark, layout.raw_path(root), layout.RAW_DAY, expired,
+                      lambda day: layout.note_expiry(spark, root, day))
 
 
 def expire_rollup(spark: SparkSession, root: str, spec: RollupSpec, as_of,

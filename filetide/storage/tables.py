@@ -14,6 +14,7 @@ from filetide.operators.rollup import DAILY, HOURLY, RollupSpec, merge_states
 from filetide.schema import EVENT_KEY, RAW_TABLE, VERSION
 from filetide.session import prepare
 from filetide.storage import layout
+from filetide.storage.numbers import settled
 
 QUARANTINE = "quarantine"
 
@@ -41,10 +42,11 @@ def as_raw(df: DataFrame) -> DataFrame:
 
 
 def touched_days(df: DataFrame, day_column: str = layout.RAW_DAY,
-                 limit: int = layout.MAX_DAYS_PER_BATCH) -> list[date]:
-    """Distinct days of a batch, refusing more than ``limit``; never reads back more than that."""
-    days = [row[0] for row in df.select(day_column).distinct().limit(limit + 1).collect()]
-    if len(days) > limit:
+                 limit: int | None = None) -> list[date]:
+    """Distinct days of a batch; with a ``limit``, more are refused, and no more than that read back."""
+    distinct = df.select(day_column).distinct()
+    days = [row[0] for row in (distinct if limit is None else distinct.limit(limit + 1)).collect()]
+    if limit is not None and len(days) > limit:
         raise TooManyDays(f"batch touches more than {limit} days")
     return sorted(days)
 
@@ -86,8 +88,9 @@ def write_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> None:
 
 def ensure_tables(spark: SparkSession, root: str, database: str = "filetide",
                   specs: tuple[RollupSpec, ...] = (HOURLY, DAILY)) -> list[str]:
-    """Registers the database and its tables over ``root``, and the days now stored there. Does
-    nothing where they exist. Compact first: a catalog reader sees merged days and their batches."""
+    """Registers the database, a table of all files of each stored table (``raw_files``) with the days
+    now stored, and a view by its plain name that shows what a reader sees: per day the highest merged
+    result and the batches after it. Calling it again brings the days up to date."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     wanted = [(layout.RAW, RAW_TABLE, layout.RAW_DAY)]
     wanted += [(s.name, layout.rollup_schema(s), layout.ROLLUP_DAY) for s in specs]
@@ -95,51 +98,53 @@ def ensure_tables(spark: SparkSession, root: str, database: str = "filetide",
     for name, schema, day in wanted:
         layout.make_folder(spark, layout.table_path(root, name))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        files = f"`{database}`.`{name}_files`"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {files} ({columns}) USING parquet "
             f"PARTITIONED BY (`{day}`, merged, batch_id) LOCATION '{layout.table_path(root, name)}'")
-        spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}` SYNC PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {files} SYNC PARTITIONS")
+        spark.sql(
+            f"CREATE VIEW IF NOT EXISTS `{database}`.`{name}` AS SELECT f.* FROM {files} f LEFT JOIN "
+            f"(SELECT `{day}` AS d, max(batch_id) AS through FROM {files} WHERE merged = 1 GROUP BY `{day}`) m "
+            f"ON f.`{day}` = m.d WHERE m.d IS NULL OR f.batch_id > m.through "
+            f"OR (f.merged = 1 AND f.batch_id = m.through)")
         names.append(f"{database}.{name}")
     return names
 
 
-def _open_days(found: list[layout.Part]) -> dict[date, int]:
-    """Last batch of each day that is not a single merged result already."""
-    through = layout.merged_through(found)
-    visible: dict[date, int] = {}
-    for part in found:
-        covered = through.get(part.day)
-        if covered is None or part.batch_id > covered or (part.merged and part.batch_id == covered):
-            visible[part.day] = visible.get(part.day, 0) + 1
-    latest = layout.latest_batches(found)
-    only_batches = {d for d in visible if d not in through}
-    return {d: latest[d] for d, n in visible.items() if n > 1 or d in only_batches}
+def _open_days(found: list[layout.Part], settled: int | None) -> dict[date, int]:
+    """Last batch, up to ``settled``, of each day that is not a single merged result already."""
+    shown = [p for p in layout.visible(found) if settled is None or p.batch_id <= settled]
+    latest = layout.latest_batches(shown)
+    return {d: n for d, n in latest.items() if any(p.day == d and not p.merged for p in shown)}
 
 
 def _compact(rows: DataFrame, path: str, day_column: str, days: dict[date, int], shrink, order,
-             clean: bool) -> list[date]:
+             clean: bool, listed) -> list[date]:
     """Rewrites the days as merged results in one job, then removes what they replace."""
     if days:
         # Batches that arrive after the days were listed stay for the next time.
-        listed = rows.filter(F.col("batch_id") <= layout.by_day(days, day_column))
-        one = shrink(listed).drop("merged", "batch_id")
+        known = rows.filter(F.col("batch_id") <= layout.by_day(days, day_column))
+        one = shrink(known).drop("merged", "batch_id")
         layout.write_parts(one, path, day_column, layout.by_day(days, day_column), merged=1, order=order)
-    if clean:
-        layout.vacuum(rows.sparkSession, path, day_column, days)
+    if clean:  # also what an earlier run left behind, on days that need no rewriting now
+        layout.vacuum(rows.sparkSession, path, day_column, listed)
     return sorted(days)
 
 
 def compact_raw(spark: SparkSession, root: str, days=None, clean: bool = True) -> list[date]:
-    """Collapses duplicates and small files, day by day; days already compact are left alone.
+    """Collapses duplicates and small files, day by day; days already compact are left alone, and so
+    are late rows of days that have expired, whose batches the rollups count one by one.
 
     ``clean=False`` leaves the replaced directories to a later ``layout.vacuum``, for readers that
     are still using them.
     """
     prepare(spark)
-    found = layout.raw_parts(spark, root, days)
-    chosen = _open_days(found)
+    horizon = layout.expired_through(spark, root)
+    found = [p for p in layout.raw_parts(spark, root, days) if horizon is None or p.day > horizon]
+    chosen = _open_days(found, settled(spark, root))
     return _compact(layout.read_raw_parts(spark, root, chosen), layout.raw_path(root),
-                    layout.RAW_DAY, chosen, dedup_latest, EVENT_KEY, clean)
+                    layout.RAW_DAY, chosen, dedup_latest, EVENT_KEY, clean, days)
 
 
 def compact_rollup(spark: SparkSession, root: str, spec: RollupSpec, days=None, clean: bool = True) -> list[date]:
@@ -150,7 +155,8 @@ def compact_rollup(spark: SparkSession, root: str, spec: RollupSpec, days=None,
         return merge_states(rows, [*spec.keys, layout.ROLLUP_DAY], spec)
 
     found = layout.rollup_parts(spark, root, spec, days)
-    chosen = _open_days(found)
+    # Late batches of expired days must stay apart from what is not yet known to be counted.
+    chosen = _open_days(found, settled(spark, root))
     return _compact(layout.read_rollup_parts(spark, root, spec, chosen),
                     layout.table_path(root, spec.name), layout.ROLLUP_DAY, chosen, merge,
-                    spec.keys, clean)
+                    spec.keys, clean, days)

@@ -12,18 +12,19 @@ from pyspark.sql.streaming import StreamingQuery
 from filetide.operators.normalize import normalize_records
 from filetide.operators.rollup import RollupSpec
 from filetide.session import prepare
-from filetide.storage import layout, tables
+from filetide.storage import numbers, tables
 from filetide.streaming import metrics
 from filetide.streaming.maintain import AS_INSERTED, EXACT, SPECS, maintain_rollups, refresh
 
 
 def commit_batch(rows: DataFrame, batch_id: int, root: str, mode: str | None = EXACT,
                  specs: tuple[RollupSpec, ...] = SPECS, refresh_every: int = 1,
-                 max_days: int = layout.MAX_DAYS_PER_BATCH) -> None:
+                 max_days: int | None = None) -> None:
     """Stores one batch of normalised, versioned rows everywhere it belongs.
 
     Every step replaces what the same batch wrote before, so a batch that failed half way is
     simply done again. ``refresh_every`` spreads the cost of exact rollups over several batches.
+    A batch may have any number of days, unless ``max_days`` sets a limit.
     """
     spark = prepare(rows.sparkSession)
     # Streams run with adaptive execution off; the writes below rely on it to balance days.
@@ -37,9 +38,9 @@ def commit_batch(rows: DataFrame, batch_id: int, root: str, mode: str | None = E
         if mode == AS_INSERTED:
             maintain_rollups(kept, batch_id, root, mode, specs, days)
         elif mode == EXACT and refresh_every == 1:
-            refresh(spark, root, days, specs)
+            refresh(spark, root, days, specs, batch_id)
         elif mode == EXACT and (batch_id + 1) % refresh_every == 0:
-            refresh(spark, root, None, specs)
+            refresh(spark, root, None, specs, batch_id)
         metrics.record_batch(kept, batch_id, root)
         metrics.record_commit(spark, batch_id, root, time.monotonic() - started, True)
     except Exception:
@@ -50,24 +51,20 @@ def commit_batch(rows: DataFrame, batch_id: int, root: str, mode: str | None = E
 
 
 def write_raw(messages: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
-              first_batch: int = 0, **options) -> StreamingQuery:
+              **options) -> StreamingQuery:
     """Starts the job on a stream of messages. The stream's offsets are committed only after a
     batch is stored, which is the acknowledgement.
 
-    ``trigger`` takes what ``DataStreamWriter.trigger`` takes; the default is one second. Batch
-    numbers name directories, so a second checkpoint on the same table needs ``first_batch`` above
-    every number in use, and needs it again at each restart.
+    ``trigger`` takes what ``DataStreamWriter.trigger`` takes; the default is one second. Several
+    checkpoints may feed one table: each batch claims a number of its own, and keeps it over restarts.
     """
     spark = prepare(messages.sparkSession)
-    fresh = not layout.exists(spark, f"{checkpoint}/offsets")
-    used = max((p.batch_id for p in layout.raw_parts(spark, root)), default=-1)
-    if fresh and used >= first_batch:
-        raise ValueError(f"a new checkpoint on a table with batches up to {used} needs a higher first_batch")
-
     rows = tables.with_version(normalize_records(messages, observed="messages"), F.current_timestamp())
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_batch(batch, first_batch + batch_id, root, **options)
+        number = numbers.claim(spark, root, checkpoint, batch_id)
+        commit_batch(batch, number, root, **options)
+        numbers.release(spark, root, number)
 
     return (
         rows.writeStream.foreachBatch(commit)

@@ -17,6 +17,7 @@ from filetide.operators.dedup import dedup_latest
 from filetide.operators.rollup import DAILY, HOURLY, RollupSpec, coarsen, rollup
 from filetide.session import prepare
 from filetide.storage import layout
+from filetide.storage.numbers import settled
 from filetide.storage.tables import append_rollup, touched_days
 
 AS_INSERTED, EXACT = "as_inserted", "exact"
@@ -65,35 +66,59 @@ def maintain_rollups(batch: DataFrame, batch_id: int, root: str, mode: str = EXA
     if mode == AS_INSERTED:
         _write_all(rows, root, specs, batch_id, 0, days)
     else:
-        refresh(batch.sparkSession, root, days, specs)
+        refresh(batch.sparkSession, root, days, specs, batch_id)
 
 
 def stale_days(spark: SparkSession, root: str, spec: RollupSpec = HOURLY) -> list[date]:
-    """Days with raw batches that the rollup's last rebuild has not seen."""
+    """Days with raw batches that the rollup's last rebuild, or a later addition, has not seen."""
     latest = layout.latest_batches(layout.raw_parts(spark, root))
-    built = layout.merged_through(layout.rollup_parts(spark, root, spec))
+    built = layout.latest_batches(layout.rollup_parts(spark, root, spec))
     return sorted(day for day, batch in latest.items() if batch > built.get(day, -1))
 
 
-def _rebuild(spark: SparkSession, root: str, specs, days, final: bool) -> list[date]:
-    """States of whole days from raw rows, published as merged results."""
-    latest = layout.latest_batches(layout.raw_parts(spark, root, days))
+def _rebuild(spark: SparkSession, root: str, specs, days, final: bool, own: int | None = None) -> list[date]:
+    """States of whole days from raw rows, published as merged results; late rows of expired days are
+    added to what is there instead."""
+    last, horizon = settled(spark, root, own), layout.expired_through(spark, root)
+    found = [p for p in layout.raw_parts(spark, root, days) if last is None or p.batch_id <= last]
+    whole = [p for p in found if horizon is None or p.day > horizon]
+    added = _add_late(spark, root, specs, [p for p in found if p not in set(whole)], final)
+    latest = layout.latest_batches(whole)
     if not latest:
-        return []
+        return added
     through = layout.by_day(latest, layout.RAW_DAY)
     rows = layout.read_raw_parts(spark, root, latest).filter(F.col("batch_id") <= through)
     rows = dedup_latest(rows) if final else rows
     rows = rows.withColumnRenamed(layout.RAW_DAY, layout.ROLLUP_DAY)
     _write_all(rows, root, specs, layout.by_day(latest, layout.ROLLUP_DAY), 1, latest)
-    return sorted(latest)
+    return sorted({*added, *latest})
+
+
+def _add_late(spark: SparkSession, root: str, specs, late, final: bool) -> list[date]:
+    """States of single raw batches under their own numbers. The rows they might repeat are gone, so
+    only copies within a batch count once. A batch that a rollup has already is left out."""
+    done = set()
+    for spec in specs:
+        have = {(p.day, p.batch_id) for p in layout.rollup_parts(spark, root, spec, {p.day for p in late})}
+        merged = layout.merged_through(layout.rollup_parts(spark, root, spec, {p.day for p in late}))
+        for number in sorted({p.batch_id for p in late}):
+            days = {p.day for p in late if p.batch_id == number and (p.day, number) not in have
+                    and number > merged.get(p.day, -1)}
+            if not days:
+                continue
+            rows = layout.read_raw_parts(spark, root, days).filter(F.col("batch_id") == number)
+            rows = dedup_latest(rows) if final else rows
+            _write_all(rows.withColumnRenamed(layout.RAW_DAY, layout.ROLLUP_DAY), root, (spec,), number, 0, days)
+            done |= days
+    return sorted(done)
 
 
 def refresh(spark: SparkSession, root: str, days: list[date] | None = None,
-            specs: tuple[RollupSpec, ...] = SPECS) -> list[date]:
+            specs: tuple[RollupSpec, ...] = SPECS, own: int | None = None) -> list[date]:
     """Rebuilds days of the rollups from deduplicated raw rows; by default the stale ones.
 
     Worth running on a schedule of its own: a day costs the same after one batch as after many.
-    What the last rebuild of a day replaced is removed now, so that a reader which began before a
+    ``own`` is the number of a batch that is stored but not yet released. What the last rebuild of a day replaced is removed now, so that a reader which began before a
     rebuild still finds its files after it.
     """
     prepare(spark)
@@ -101,7 +126,7 @@ def refresh(spark: SparkSession, root: str, days: list[date] | None = None,
         days = sorted({d for spec in specs for d in stale_days(spark, root, spec)})
     for spec in specs:
         layout.vacuum(spark, layout.table_path(root, spec.name), layout.ROLLUP_DAY, days)
-    return _rebuild(spark, root, specs, days, final=True)
+    return _rebuild(spark, root, specs, days, final=True, own=own)
 
 
 def backfill(spark: SparkSession, root: str, spec: RollupSpec, start: date | None = None,

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from filetide.operators import rollup as R
 from filetide.sources.tables import raw_view, read_raw, read_rollup
-from filetide.storage import layout, retention, tables
+from filetide.storage import layout, numbers, retention, tables
 from filetide.streaming import maintain
+from filetide.streaming.upkeep import upkeep
 
 
 def _batch(spark, names, version="2026-07-22 13:00:00", day=22, **changes):
@@ -105,15 +106,74 @@ def test_days_and_columns_are_pruned(spark, root, batches):
     assert "event_date" in partition and "2026-07-22" in partition
     schema = next(line for line in text.splitlines() if line.startswith("ReadSchema"))
     assert "raw_json" not in schema and "filename" not in schema
-    states = plan(read_rollup(spark, root).filter("vo = 'physics'").select("events_state"))
-    assert "batch_id" in next(line for line in states.splitlines() if line.startswith("PartitionFilters"))
+    opened = layout.read_rollup_parts(spark, root, R.HOURLY).inputFiles()
+    assert opened and all("merged=1" in f for f in opened)
+
+
+def test_a_bounded_read_lists_its_days_only(spark, root, batches, monkeypatch):
+    _store(spark, root, maintain.EXACT, batches)
+    listed = []
+    whole = layout.parts
+    monkeypatch.setattr(layout, "parts", lambda s, path, day, days=None: listed.append(days) or whole(s, path, day, days))
+    assert read_raw(spark, root, "2026-07-22 00:00:00", "2026-07-22 18:00:00").count() == 4
+    assert read_rollup(spark, root, start="2026-07-22 00:00:00").count() > 0
+    assert listed == [[date(2026, 7, 22)], [date(2026, 7, 22)]]
+
+
+def test_late_rows_add_to_days_that_have_expired(spark, root, batches):
+    _store(spark, root, maintain.EXACT, batches)
+    before = _usage(spark, root)
+    retention.expire_raw(spark, root, "2026-10-01 00:00:00")
+    assert read_raw(spark, root).count() == 0
+    tables.append_raw(_batch(spark, ["/late"]), root, 3)
+    for again in (maintain.refresh, lambda s, r: maintain.backfill(s, r, R.HOURLY), maintain.refresh):
+        again(spark, root)
+        tables.compact_raw(spark, root)
+        tables.compact_rollup(spark, root, R.HOURLY)
+        after = _usage(spark, root)
+        assert sum(r[2] for r in after) == sum(r[2] for r in before) + 1
+        assert sum(r[2] for r in _usage(spark, root, R.DAILY)) == sum(r[2] for r in before) + 1
+
+
+def test_two_jobs_take_different_numbers_and_keep_them(spark, root, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    assert [numbers.claim(spark, root, c, n) for c, n in ((a, 0), (b, 0), (a, 1), (b, 0))] == [0, 1, 2, 1]
+    assert numbers.settled(spark, root) == -1 and numbers.settled(spark, root, own=0) == 0
+    for n in (0, 2):
+        numbers.release(spark, root, n)
+    assert numbers.settled(spark, root) == 0 and numbers.settled(spark, root, own=1) is None
+    numbers.release(spark, root, 1)
+    assert [numbers.claim(spark, root, a, n) for n in range(2, 60)] == list(range(3, 61))
+    assert numbers.claim(spark, root, a, 59) == 60
+
+
+def test_a_merge_stops_below_an_open_batch(spark, root, tmp_path):
+    slow, quick = (numbers.claim(spark, root, str(tmp_path / c), 0) for c in ("slow", "quick"))
+    tables.append_raw(_batch(spark, ["/b"]), root, quick)
+    assert tables.compact_raw(spark, root) == [] == maintain.refresh(spark, root)
+    numbers.release(spark, root, quick)
+    tables.append_raw(_batch(spark, ["/a"]), root, slow)
+    numbers.release(spark, root, slow)
+    assert tables.compact_raw(spark, root) == [date(2026, 7, 22)]
+    assert read_raw(spark, root).count() == 2
+
+
+def test_upkeep_cleans_up_after_an_interrupted_run(spark, root, batches):
+    _store(spark, root, maintain.EXACT, batches)
+    tables.compact_raw(spark, root, clean=False)
+    done = upkeep(spark, root, "2026-09-20 00:00:00")
+    assert done["expired raw"] == [date(2026, 7, 21)]
+    assert len(layout.raw_parts(spark, root)) == 1
+    assert upkeep(spark, root, "2026-09-20 00:00:00")["expired raw"] == []
+    assert sum(r[2] for r in _usage(spark, root)) == 4
 
 
 def test_too_many_days_are_refused(spark):
     days = spark.range(101).select(F.expr("date'2026-01-01' + cast(id as int)").alias("event_date"))
-    assert len(tables.touched_days(days.filter("event_date > '2026-01-01'"))) == 100
+    assert len(tables.touched_days(days)) == 101
+    assert len(tables.touched_days(days.filter("event_date > '2026-01-01'"), limit=100)) == 100
     with pytest.raises(tables.TooManyDays):
-        tables.touched_days(days)
+        tables.touched_days(days, limit=100)
 
 
 def test_quarantine_copies_bad_rows(spark, root):

@@ -42,9 +42,11 @@ def test_three_messages_one_duplicate(spark, tmp_path):
     late = read_rollup(spark, root).filter(F.col("hour") == "2026-01-01 00:00:00")
     assert rows(R.totals(late, [], measures=["events", "bytes_read"])) == [(1, 7)]
 
-    # A second checkpoint would reuse batch numbers.
-    with pytest.raises(ValueError, match="first_batch"):
-        _run(spark, landing, root, check + "2")
+    # A second checkpoint takes numbers of its own, also after a restart.
+    for more in (1, 2):
+        _land(spark, landing + "2", [record(f"/other/{more}")])
+        _run(spark, landing + "2", root, check + "2", mode=maintain.EXACT)
+        assert raw_view(spark, root).count() == 4 + more
 
 
 def test_stream_equals_batch(spark, tmp_path):

@@ -308,11 +308,11 @@ def snk6_quarantine(spark, sf_dir):
 
 
 def snk7_many_days(spark, sf_dir):
-    """One batch of many days between the years 1250 and 9000, of which every row is stored."""
+    """One batch of many days between the years 1250 and 8990, of which every row is stored."""
     root = workspace(prepare(spark), "days")
     rows = X.event_records(spark, sf_dir)
-    number = F.abs(F.hash("event_id")) % 150
-    days = F.lit(86400).cast("bigint") * (number * 19000 - 282000)
+    number = F.pmod(F.hash("event_id"), F.lit(5))
+    days = F.lit(86400).cast("bigint") * (number * 707000 - 282000)
     commit_batch(rows.withColumn("event_time", F.timestamp_seconds(F.unix_seconds("event_time") + days)), 0, root)
     stored = read_raw(spark, root)
     return stored.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"),

@@ -184,18 +184,19 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list
     def run(batches):
         model = Model(*shared.value)
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, text):
                 yield add(part, model)
 
     def add(part, model):
-        languages, found, spans = predict_texts(part.column("__text"), model, switch)
-        kept = part.drop_columns(["__text"])
+        languages, found, spans = predict_texts(part.column(text), model, switch)
+        kept = part.drop_columns(["__text"]) if text == "__text" else part
         return pa.RecordBatch.from_arrays(
             [*kept.columns, pa.array(languages, pa.string()), pa.array(found, pa.float64()), pa.array(spans, pa.list_(
                 pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])))],
             [*kept.schema.names, *names])
 
-    kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias("__text"))
+    text = "text" if "text" in columns else "__text"  # a text among the columns is sent once
+    kept = docs.select(*[F.col(f"`{c}`") for c in columns], *[F.col("text").alias(text)] * (text == "__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text")
     return kept.mapInArrow(run, f"{fields}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` {SPAN}")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -13,11 +14,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    folder = tempfile.mkdtemp(prefix="llm-shared-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "llm-shared"))
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:

@@ -38,14 +38,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir`` for tables a job writes on the way."""
+    """A fresh folder below ``spark.checkpoint.dir`` for tables a job writes on the way. Only a session
+    on one machine may go without that setting, as in tests; it then gets a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = set_dir.get() if set_dir.isDefined() else None
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="filetide-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        if not context._jsc.sc().getCheckpointDir().isDefined():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="filetide-"))
+        base = context._jsc.sc().getCheckpointDir().get()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

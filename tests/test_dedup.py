@@ -8,16 +8,16 @@ from filetide.schema import EVENT_KEY
 
 
 def test_redelivery_collapses(spark):
-    twice = raw(spark, [record(), record(), record("/data/b.root", 200)])
+    twice = raw(spark, [record(), record(), record("/store/run17/tracks.dat", 200)])
     assert D.dedup_latest(twice).count() == 2
     assert rows(D.duplicate_report(twice).select("copies")) == [(2,)]
 
 
 def test_latest_copy_wins_before_filters(spark):
-    copies = raw(spark, [record()]).unionByName(raw(spark, [record(vo="new")], "2026-07-22 13:00:01"))
+    copies = raw(spark, [record()]).unionByName(raw(spark, [record(vo="new")], "2026-03-22 13:00:01"))
     assert rows(D.dedup_latest(copies).select("vo")) == [("new",)]
-    assert U.raw_spot_check(copies, "physics", "2026-07-22 12:30:00").count() == 0
-    assert U.raw_spot_check(copies, "new", "2026-07-22 12:30:00").count() == 1
+    assert U.raw_spot_check(copies, "astro", "2026-03-22 12:30:00").count() == 0
+    assert U.raw_spot_check(copies, "new", "2026-03-22 12:30:00").count() == 1
 
 
 def test_equal_versions_pick_the_same_copy_in_any_order(spark):
@@ -29,7 +29,7 @@ def test_equal_versions_pick_the_same_copy_in_any_order(spark):
 def test_receive_time_keeps_copies_apart(spark):
     bare = {"serverID": "s", "filename": "/a"}
     first, second = (normalize_records(messages(spark, [bare], t)) for t in
-                     ("2026-07-22 13:00:00", "2026-07-22 13:00:01"))
+                     ("2026-03-22 13:00:00", "2026-03-22 13:00:01"))
     both = first.unionByName(second).withColumn("ingest_time", F.col("event_time"))
     assert D.dedup_latest(both).count() == 2
 
@@ -51,7 +51,7 @@ def test_hot_keys_shrink_before_the_shuffle(spark):
 
 def test_excess_by_source(spark):
     df = raw(spark, [record(), record(), record("/b")]).unionByName(
-        raw(spark, [record()], "2026-07-22 14:00:00", source="other"))
+        raw(spark, [record()], "2026-03-22 14:00:00", source="other"))
     assert rows(D.excess_by_source(df)) == [("main", 3, 1, 2), ("other", 1, 1, 0)]
 
 

@@ -8,7 +8,7 @@ from filetide.operators import rollup as R
 def _sample(spark):
     return raw(spark, [
         record(f"/d/{i % 7}", read=i, write=i % 2, vo=f"v{i % 3}", dirname1="/d",
-               **{"@timestamp": f"2026-07-{20 + i % 3}T{i % 24:02d}:10:00Z"}) for i in range(60)])
+               **{"@timestamp": f"2026-03-{20 + i % 3}T{i % 24:02d}:10:00Z"}) for i in range(60)])
 
 
 def test_merge_of_rollups_is_the_rollup_of_the_union(spark):
@@ -65,4 +65,4 @@ def test_own_rollup(spark):
     spec = R.RollupSpec("weekly", "week", ("site",), {"stored": "filesize"}, {"users": "user"})
     df = raw(spark, [record(f"/{i}", site="A", user=f"u{i % 2}") for i in range(4)])
     out = R.finalize(R.rollup(df, spec), spec).first()
-    assert (str(out.week), out.site, out.events, out.stored, out.users) == ("2026-07-20", "A", 4, 4194304, 2)
+    assert (str(out.week), out.site, out.events, out.stored, out.users) == ("2026-03-16", "A", 4, 29360128, 2)

@@ -11,8 +11,8 @@ from filetide.streaming import maintain
 from filetide.streaming.upkeep import upkeep
 
 
-def _batch(spark, names, version="2026-07-22 13:00:00", day=22, **changes):
-    return raw(spark, [record(n, **{"@timestamp": f"2026-07-{day}T12:00:00Z"}, **changes) for n in names], version)
+def _batch(spark, names, version="2026-03-22 13:00:00", day=22, **changes):
+    return raw(spark, [record(n, **{"@timestamp": f"2026-03-{day}T12:00:00Z"}, **changes) for n in names], version)
 
 
 def _store(spark, root, mode, batches):
@@ -29,7 +29,7 @@ def _usage(spark, root, spec=R.HOURLY):
 @pytest.fixture()
 def batches(spark):
     return [(0, _batch(spark, ["/a", "/b"])), (1, _batch(spark, ["/c"], day=21)),
-            (2, _batch(spark, ["/a", "/c2"], "2026-07-22 14:00:00", vo="new"))]
+            (2, _batch(spark, ["/a", "/c2"], "2026-03-22 14:00:00", vo="new"))]
 
 
 def test_replay_changes_nothing(spark, root, batches):
@@ -43,7 +43,7 @@ def test_compaction_changes_no_answer(spark, root, batches):
     _store(spark, root, maintain.AS_INSERTED, batches)
     final = rows(raw_view(spark, root).select("event_id", "vo", "raw_json"))
     hourly, daily = _usage(spark, root), _usage(spark, root, R.DAILY)
-    assert tables.compact_raw(spark, root) == [date(2026, 7, 21), date(2026, 7, 22)]
+    assert tables.compact_raw(spark, root) == [date(2026, 3, 21), date(2026, 3, 22)]
     tables.compact_rollup(spark, root, R.HOURLY)
     tables.compact_rollup(spark, root, R.DAILY)
     assert rows(read_raw(spark, root).select("event_id", "vo", "raw_json")) == final
@@ -71,7 +71,7 @@ def test_batches_after_and_replays_before_a_compaction(spark, root, batches):
     _store(spark, root, maintain.AS_INSERTED, [batches[1], batches[2]])
     assert read_raw(spark, root).count() == 5
     assert sum(r[2] for r in _usage(spark, root)) == 5
-    assert tables.compact_raw(spark, root) == [date(2026, 7, 22)]
+    assert tables.compact_raw(spark, root) == [date(2026, 3, 22)]
 
 
 def test_exact_rollups_follow_deduplicated_rows_in_any_order(spark, tmp_path, batches):
@@ -88,12 +88,12 @@ def test_exact_rollups_follow_deduplicated_rows_in_any_order(spark, tmp_path, ba
 def test_scheduled_refresh_and_backfill_agree(spark, root, batches):
     for number, batch in batches:
         tables.append_raw(batch, root, number)
-    assert maintain.stale_days(spark, root) == [date(2026, 7, 21), date(2026, 7, 22)]
+    assert maintain.stale_days(spark, root) == [date(2026, 3, 21), date(2026, 3, 22)]
     maintain.refresh(spark, root)
     assert maintain.stale_days(spark, root) == []
     refreshed = _usage(spark, root, R.DAILY)
     other = R.RollupSpec("other_daily", "day")
-    maintain.backfill(spark, root, other, date(2026, 7, 21), date(2026, 7, 22))
+    maintain.backfill(spark, root, other, date(2026, 3, 21), date(2026, 3, 22))
     maintain.backfill(spark, root, other)
     maintain.backfill(spark, root, other)
     assert rows(R.totals(read_rollup(spark, root, other), ["day", "vo"], other)) == refreshed
@@ -101,9 +101,9 @@ def test_scheduled_refresh_and_backfill_agree(spark, root, batches):
 
 def test_days_and_columns_are_pruned(spark, root, batches):
     _store(spark, root, maintain.EXACT, batches)
-    text = plan(raw_view(spark, root, start="2026-07-22 00:00:00", end="2026-07-22 18:00:00").select("event_id"))
+    text = plan(raw_view(spark, root, start="2026-03-22 00:00:00", end="2026-03-22 18:00:00").select("event_id"))
     partition = next(line for line in text.splitlines() if line.startswith("PartitionFilters"))
-    assert "event_date" in partition and "2026-07-22" in partition
+    assert "event_date" in partition and "2026-03-22" in partition
     schema = next(line for line in text.splitlines() if line.startswith("ReadSchema"))
     assert "raw_json" not in schema and "filename" not in schema
     opened = layout.read_rollup_parts(spark, root, R.HOURLY).inputFiles()
@@ -115,9 +115,9 @@ def test_a_bounded_read_lists_its_days_only(spark, root, batches, monkeypatch):
     listed = []
     whole = layout.parts
     monkeypatch.setattr(layout, "parts", lambda s, path, day, days=None: listed.append(days) or whole(s, path, day, days))
-    assert read_raw(spark, root, "2026-07-22 00:00:00", "2026-07-22 18:00:00").count() == 4
-    assert read_rollup(spark, root, start="2026-07-22 00:00:00").count() > 0
-    assert listed == [[date(2026, 7, 22)], [date(2026, 7, 22)]]
+    assert read_raw(spark, root, "2026-03-22 00:00:00", "2026-03-22 18:00:00").count() == 4
+    assert read_rollup(spark, root, start="2026-03-22 00:00:00").count() > 0
+    assert listed == [[date(2026, 3, 22)], [date(2026, 3, 22)]]
 
 
 def test_late_rows_add_to_days_that_have_expired(spark, root, batches):
@@ -154,17 +154,17 @@ def test_a_merge_stops_below_an_open_batch(spark, root, tmp_path):
     numbers.release(spark, root, quick)
     tables.append_raw(_batch(spark, ["/a"]), root, slow)
     numbers.release(spark, root, slow)
-    assert tables.compact_raw(spark, root) == [date(2026, 7, 22)]
+    assert tables.compact_raw(spark, root) == [date(2026, 3, 22)]
     assert read_raw(spark, root).count() == 2
 
 
 def test_upkeep_cleans_up_after_an_interrupted_run(spark, root, batches):
     _store(spark, root, maintain.EXACT, batches)
     tables.compact_raw(spark, root, clean=False)
-    done = upkeep(spark, root, "2026-09-20 00:00:00")
-    assert done["expired raw"] == [date(2026, 7, 21)]
+    done = upkeep(spark, root, "2026-05-21 00:00:00")
+    assert done["expired raw"] == [date(2026, 3, 21)]
     assert len(layout.raw_parts(spark, root)) == 1
-    assert upkeep(spark, root, "2026-09-20 00:00:00")["expired raw"] == []
+    assert upkeep(spark, root, "2026-05-21 00:00:00")["expired raw"] == []
     assert sum(r[2] for r in _usage(spark, root)) == 4
 
 

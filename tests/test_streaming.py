@@ -26,11 +26,11 @@ def _run(spark, landing, root, checkpoint, files=1, **options):
 
 def test_three_messages_one_duplicate(spark, tmp_path):
     landing, root, check = (str(tmp_path / n) for n in ("in", "tables", "check"))
-    _land(spark, landing, [record()], [record(), "broken"], [record("/data/b.root", 200)])
+    _land(spark, landing, [record()], [record(), "broken"], [record("/store/run17/tracks.dat", 200)])
     _run(spark, landing, root, check, mode=maintain.EXACT)
     assert read_raw(spark, root).count() == 4
     assert raw_view(spark, root).filter(~F.col("parse_error")).count() == 2
-    assert rows(R.totals(read_rollup(spark, root), ["vo"])) == [("", 1, 0, 0, 1), ("physics", 2, 300, 0, 2)]
+    assert rows(R.totals(read_rollup(spark, root), ["vo"])) == [("", 1, 0, 0, 1), ("astro", 2, 300, 0, 2)]
     totals = metrics.counters(metrics.read_batches(spark, root), metrics.read_commits(spark, root)).first()
     assert totals.asDict() == {"messages": 4, "parse_errors": 1, "rows_inserted": 4, "quarantined": 1,
                                "batches_committed": 3, "insert_failures": 0}
@@ -72,7 +72,7 @@ def test_refresh_every_other_batch(spark, tmp_path):
 
 def test_a_refused_batch_fails_the_stream_and_is_counted(spark, tmp_path):
     landing, root, check = (str(tmp_path / n) for n in ("in", "tables", "check"))
-    days = [record(f"/{d}", **{"@timestamp": f"2026-07-{d:02d}T00:00:00Z"}) for d in range(1, 5)]
+    days = [record(f"/{d}", **{"@timestamp": f"2026-03-{d:02d}T00:00:00Z"}) for d in range(1, 5)]
     _land(spark, landing, days)
     with pytest.raises(Exception, match="more than 3 days"):
         _run(spark, landing, root, check, max_days=3)

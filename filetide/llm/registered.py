@@ -114,5 +114,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t-\\r]+')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For what SQL can say: exact links by a join on shingles, and exact neighbours by all products."""
+    return {
+        "op3_hyperminhash": f"""WITH RECURSIVE worded AS (
+            SELECT doc_id, {WORDS} AS w FROM documents
+          ), shingled AS (
+            SELECT doc_id, CASE WHEN len(w) = 1 THEN [w[1]] WHEN len(w) > 1 THEN list_distinct(list_transform(
+              generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) ELSE [] END AS s FROM worded
+          ), sized AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM shingled
+          ), each AS (SELECT doc_id, unnest(s) AS shingle FROM shingled
+          ), both_in AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM each a JOIN each b USING (shingle)
+            WHERE a.doc_id <> b.doc_id GROUP BY ALL
+          ), links AS (
+            SELECT a, b FROM both_in JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+            WHERE 100 * c >= 80 * (x.n + y.n - c)
+          ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM sized UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+          ), heads AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY 1)
+          SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN heads USING (doc_id)""",
+        "op8_one_bit_neighbours": """WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+          ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
+          ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+              vec_id, score FROM scored)
+          SELECT * FROM ranked WHERE rank <= 20""",
+    }

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+DELIVERY_S = 0.3
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; set only where the session has none and runs on one machine."""
@@ -27,8 +30,10 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # Nothing refers to the job's shuffles any more; Spark's cleaner drops their files once the driver
-    # has collected its garbage, which may be long after disks are full.
+    # Nothing refers to the job's shuffles any more, once its last events have been delivered; Spark's
+    # cleaner drops their files when the driver has collected its garbage, which may be long after
+    # disks are full.
+    time.sleep(DELIVERY_S)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

@@ -65,18 +65,20 @@ def battery(run: Column, kind: Column) -> Column:
     squares = F.aggregate(F.array_distinct(F.split(run, "")), F.lit(0.0), lambda acc, c: F.when(
         c == "", acc).otherwise(acc + F.pow(n - F.length(F.replace(run, c, F.lit(""))), F.lit(2.0))))
     chi = (k / n * squares - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
-    half = F.aggregate(values, F.lit(""), lambda acc, v: F.concat(acc, F.when(v > k / 2, "1").otherwise("0")))
+    half = F.array_join(F.transform(values, lambda v: F.when(v > k / 2, "1").otherwise("0")), "")
     above = F.length(F.replace(half, F.lit("0"), F.lit(""))).cast("double")
     both = 2 * above * (n - above)
     expected = both / n + 1
     spread = F.greatest(both * (both - n) / (n * n * (n - 1)), F.lit(0.01))
     runs = F.abs(F.length(F.regexp_replace(half, "0+|1+", "x")) - expected) / F.sqrt(spread)
-    mean = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / n
-    around = F.transform(values, lambda v: v - mean)
-    whole = F.aggregate(around, F.lit(0.0), lambda acc, v: acc + v * v)
-    next_to = F.aggregate(
-        F.zip_with(F.slice(around, 1, F.size(around) - 1), F.slice(around, 2, F.size(around) - 1), lambda a, b: a * b),
-        F.lit(0.0), lambda acc, v: acc + v)
+    # From plain sums: nothing of the whole run is worked out again for each letter.
+    total = lambda parts: F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
+    mean = total(values) / n
+    whole = total(F.transform(values, lambda v: v * v)) - n * mean * mean
+    products = total(F.zip_with(F.slice(values, 1, F.size(values) - 1), F.slice(values, 2, F.size(values) - 1),
+                                lambda x, y: x * y))
+    ends = F.element_at(values, 1) + F.element_at(values, -1)
+    next_to = products - mean * (2 * n * mean - ends) + (n - 1) * mean * mean
     serial = F.abs(next_to / F.greatest(whole, F.lit(1e-9)) + 1 / n) * F.sqrt(n)
     return F.greatest(chi, runs, serial)
 

@@ -1,7 +1,10 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses, with Spark SQL functions only.
 
 Candidates are found by format and validated: check digits of cards (Luhn) and accounts (modulo 97),
-octets, social security ranges, real calendar days. A valid value is replaced by another valid one of
+octets, social security ranges, real calendar days. Where a candidate fails, or is a card or account of
+an unusual length, the text is read again and only candidates that pass count: cards in their usual
+groups and accounts of their country's length at any place, then the other formats, and last the long
+readings of cards. A valid value is replaced by another valid one of
 the same format under a keyed Feistel permutation: an alternating network whose halves are added to,
 modulo their size, a keyed hash of the other half. It is a permutation, so different values stay
 different, and equal values of a format get equal pseudonyms in all documents. Values are compared by
@@ -29,6 +32,24 @@ FORMATS = {  # tried in this order at each position
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
 ANY = "|".join(FORMATS.values())
+# What the formats have around them, and the readings that are tried inside a longer one.
+ACCOUNT_ENDS, CARD_ENDS, DATE_ENDS = (
+    (r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"), (r"(?<![0-9])", r"(?![0-9])"), (r"(?<![0-9./-])", r"(?![0-9]|[./-][0-9])"))
+ACCOUNT_SIZES = {  # letters and digits of an account, and the countries that have so many
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IR IS TR", 27: "BF BI BJ CF CG CI CM DJ FR GA GN GR IT MC MG ML MR NE SM SN TD TG",
+    28: "AL AZ BY CY DO GQ GT GW HN HU LB NI PL SV TH", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+ACCOUNT = "|".join(f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(size - 4) // 4}}}" + (
+    f" ?[A-Z0-9]{{{size % 4}}}" if size % 4 else "") for size, countries in ACCOUNT_SIZES.items())
+CARD = "|".join("[ -]".join(f"[0-9]{{{n}}}" for n in groups) for groups in (
+    ("13,19",), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5), (4, 4, 4, 1), (4, 3, 3, 3)))
+LONG_CARD = r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}"
+LONG_FIRST = "^(?:5[0678]|6)"  # of networks with cards of 19 digits; for others the last three are rather a CVV
+DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2[0-9]{4}"
+SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9]|-[0-9])"
 MAYBE = "[@0-9]"
 
 
@@ -151,16 +172,77 @@ def kind_of(value: Column) -> Column:
     return kind
 
 
+def unusual(x: Column) -> Column:
+    """Whether a match is a card or an account that one of its usual readings may be a part of."""
+    return ((x["kind"] == "card") & ~x["value"].rlike(f"^(?:{CARD})$")) | (
+        (x["kind"] == "account") & ~x["value"].rlike(f"^(?:{ACCOUNT})$"))
+
+
+def valid(kind: str, value: Column) -> Column:
+    """Whether a reading passes its check."""
+    digits, plain = only(value, "0-9"), only(value, "A-Z0-9")
+    if kind == "card":
+        return F.right(digits, F.lit(1)) == luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1))
+    if kind == "account":
+        return F.substring(plain, 3, 2) == account_check(plain)
+    return pseudonym(kind, value, "").isNotNull()
+
+
+def readings(text: Column, kind: str, pattern: str, ends: tuple[str, str]) -> Column:
+    """The valid readings of a pattern at every place of a text, also within one another."""
+    every = F.regexp_extract_all(text, F.lit(f"{ends[0]}(?=({pattern}){ends[1]})"), F.lit(1))
+    return F.filter(F.array_distinct(every), lambda v: valid(kind, v))
+
+
+def one_of(values: Column) -> Column:
+    return F.when(F.size(values) == 0, F.lit("(?!)")).otherwise(F.concat(
+        F.lit(r"(?:\Q"), F.array_join(values, r"\E|\Q"), F.lit(r"\E)")))
+
+
+def with_pattern(docs: DataFrame, value: Column) -> DataFrame:
+    """``docs`` with ``__pattern``: ``ANY``, or where one of its matches (``__first``) fails or is unusual,
+    that of the formats with the valid readings of cards, accounts and dates in the place of their
+    patterns. Valid matches of unusual length stay, after the usual ones."""
+    again = F.exists("__first", lambda x: x["new"].isNull() | unusual(x))
+    kept = lambda kind: F.array_distinct(F.transform(F.filter(
+        "__first", lambda x: (x["kind"] == kind) & x["new"].isNotNull() & unusual(x)), lambda x: x["value"]))
+    # Each step is a column of its own, so that it is worked out once.
+    docs = docs.withColumn("__long", F.when(again, readings(value, "card", LONG_CARD, CARD_ENDS)))
+    docs = docs.withColumn("__usual", F.when(again, one_of(F.concat(
+        F.filter("__long", lambda v: v.rlike(LONG_FIRST)), readings(value, "card", CARD, CARD_ENDS),
+        F.filter("__long", lambda v: ~v.rlike(LONG_FIRST))))))
+    docs = docs.withColumn("__other", F.when(again, kept("card")))
+    # An unusual card gives way to a usual one that begins at a later group of its own.
+    others = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(18)), lambda n: F.concat(
+        F.lit("(?!(?:[0-9]+[ -]){1,"), n.cast("string"), F.lit("}"), F.col("__usual"), F.lit("(?![0-9]))"), one_of(
+            F.filter("__other", lambda v: F.size(F.split(v, "[ -]")) == n + 1)))), "|")
+    within = lambda ends, middle: F.concat(F.lit(ends[0]), middle, F.lit(ends[1]))
+    pattern = F.concat_ws(
+        "|", F.lit(FORMATS["email"]), within(ACCOUNT_ENDS, one_of(F.concat(
+            readings(value, "account", ACCOUNT, ACCOUNT_ENDS), kept("account")))),
+        within(DATE_ENDS, one_of(readings(value, "date", DATE, DATE_ENDS))), F.lit(FORMATS["ip"]), F.lit(SSN),
+        within(CARD_ENDS, F.col("__usual")), F.lit(FORMATS["phone"]), F.when(F.size("__other") > 0, within(
+            CARD_ENDS, F.concat(F.lit("(?:"), others, F.lit(")")))))
+    return docs.withColumn("__pattern", F.when(F.col("__usual").isNotNull(), pattern).otherwise(F.lit(ANY))).drop(
+        "__long", "__usual", "__other")
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` rewritten and ``private``: the kinds of its valid values, in order."""
     value = F.col(text)
     replaced = lambda x: F.coalesce(*[F.when(x["kind"] == k, pseudonym(k, x["value"], key)) for k in FORMATS])
-    found = F.transform(F.regexp_extract_all(value, F.lit(ANY), F.lit(0)),
-                        lambda x: F.struct(x.alias("value"), kind_of(x).alias("kind")))
-    found = F.transform(found, lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), replaced(x).alias("new")))
+
+    def found(pattern):
+        kinds = F.transform(F.regexp_extract_all(value, pattern, F.lit(0)),
+                            lambda x: F.struct(x.alias("value"), kind_of(x).alias("kind")))
+        return F.transform(kinds, lambda x: F.struct(x["value"].alias("value"), x["kind"].alias("kind"), replaced(x).alias("new")))
+
     none = F.array().cast("array<struct<value:string,kind:string,new:string>>")
-    docs = docs.withColumn("__found", F.when(value.rlike(MAYBE), found).otherwise(none))
-    parts = F.zip_with(F.split(value, ANY, -1), F.col("__found"), lambda gap, x: F.concat(
+    docs = docs.withColumn("__first", F.when(value.rlike(MAYBE), found(F.lit(ANY))).otherwise(none))
+    docs = with_pattern(docs, value)
+    docs = docs.withColumn("__found", F.when(F.col("__pattern") == ANY, F.col("__first")).otherwise(found(F.col("__pattern"))))
+    parts = F.zip_with(F.split(value, F.col("__pattern"), -1), F.col("__found"), lambda gap, x: F.concat(
         F.coalesce(gap, F.lit("")), F.coalesce(x["new"], x["value"], F.lit(""))))
     return docs.withColumn(text, F.when(F.size("__found") > 0, F.array_join(parts, "")).otherwise(value)).withColumn(
-        "private", F.transform(F.filter("__found", lambda x: x["new"].isNotNull()), lambda x: x["kind"])).drop("__found")
+        "private", F.transform(F.filter("__found", lambda x: x["new"].isNotNull()), lambda x: x["kind"])).drop(
+            "__first", "__pattern", "__found")

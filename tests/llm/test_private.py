@@ -1,3 +1,4 @@
+import random
 import re
 
 from llm.corpus import no_documents, odd_documents
@@ -69,3 +70,57 @@ def test_odd_documents_keep_their_columns(spark):
     plain = sorted([tuple(r) for r in docs.collect()], key=repr)
     assert sorted([tuple(r)[:-1] for r in done.collect()], key=repr) == plain
     assert private.pseudonymise(no_documents(spark), "k").collect() == []
+
+
+def account(country, body):
+    number = int("".join(str(int(c, 36)) for c in body + country + "00"))
+    return f"{country}{98 - number % 97:02}{body}"
+
+
+def spaced(value):
+    return " ".join(value[i:i + 4] for i in range(0, len(value), 4))
+
+
+def test_values_beside_other_numbers(spark):
+    """Cards beside expiry, CVV or a number, two phones, accounts before a capital word."""
+    card, solid = "4111 1111 1111 1111", "4111111111111111"
+    texts = [card, solid, f"card {solid} 12/26", f"2 {card}", f"{card} 123", "4111 1111 1111 1111 12 4111-1111-1111-1111",
+             "5105 1051 0510 5100 4111 1111 1111 1111", "378282246310005 12/26 1234", f"{card[:-1]}2 7 {solid}"]
+    rows = run(spark, texts)
+    new, plain_new = rows[0][0], rows[1][0]
+    assert new.replace(" ", "") == plain_new != solid
+    assert [t for t, _ in rows[2:5]] == [f"card {plain_new} 12/26", f"2 {new}", f"{new} 123"]
+    assert rows[5] == (f"{new} 12 {new.replace(' ', '-')}", ["card"] * 2)
+    assert rows[6][1] == ["card"] * 2 and rows[6][0].endswith(new) and rows[7][1] == ["card"]
+    assert rows[8] == (f"{card[:-1]}2 7 {plain_new}", ["card"])
+
+
+def test_phones_beside_each_other(spark):
+    one, two, (both, kinds) = run(spark, ["555-123-4567", "555-987-6543", "555-123-4567 555-987-6543"])
+    assert both == f"{one[0]} {two[0]}" and kinds == ["phone"] * 2 and one[0] != "555-123-4567"
+
+
+def test_accounts_before_capital_words(spark):
+    values = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947",
+              spaced(account("DE", "370400440532013000"))]
+    alone = run(spark, values)
+    for word in ("EUR", "USD PAID", "X"):
+        assert run(spark, [f"{v} {word}" for v in values]) == [(f"{new} {word}", ["account"]) for new, _ in alone]
+    assert all(new != v for (new, _), v in zip(alone, values))
+
+
+def test_other_formats_in_a_failed_stretch(spark):
+    texts = ["12 555-123-4567 98", "4111 1111 1111 1112 jo@ex.org", "666-45-6789 123-45-6789", "1234567890123 2024-02-29"]
+    assert [k for _, k in run(spark, texts)] == [["phone"], ["email"], ["ssn"], ["date"]]
+
+
+def test_cards_with_any_neighbours(spark):
+    rng = random.Random(6)
+    texts = []
+    for _ in range(300):
+        body = rng.choice("3456") + "".join(rng.choice("0123456789") for _ in range(14))
+        card = next(body + c for c in "0123456789" if luhn(body + c))
+        texts.append((spaced(card), rng.choice(["", "7 ", "no. 12 "]), rng.choice([" 123", " 12/26", " 12 34", ""])))
+    rows = run(spark, [a + c + b for c, a, b in texts])
+    for (card, before, after), (text, kinds) in zip(texts, rows):
+        assert "card" in kinds and text.startswith(before) and card not in text

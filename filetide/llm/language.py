@@ -76,9 +76,10 @@ class Model:
         weights = (np.log(smooth / smooth.sum(axis=1, keepdims=True)) / 3).astype(np.float32)
         return cls(languages, weights, scripts >= SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1))
 
-    def score(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """A row of scores for each word, and its letters; words without letters score 0."""
-        buckets, lengths, letters, table = features(words)
+    def score(self, words: pa.Array, found: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """A row of scores for each word, and its letters; words without letters score 0. ``found`` are
+        the words' features, where they are known."""
+        buckets, lengths, letters, table = found or features(words)
         bounds = np.cumsum(lengths) - lengths
         scores = np.zeros((len(words), len(self.languages)), np.float32)
         for n, own in enumerate(self.weights):
@@ -90,6 +91,10 @@ class Model:
         scores[~allowed.any(axis=1) | (letters == 0)] = 0
         return scores, letters
 
+    def foreign(self, found: tuple) -> np.ndarray:
+        """Whether no language uses the script of a word, from the words' features."""
+        return ~self.uses[:, found[3].argmax(axis=1)].any(axis=0)
+
 
 def label(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarray:
     """The best label of every word; the words of text i are rows bounds[i] to bounds[i + 1].
@@ -174,10 +179,11 @@ SPAN = "array<struct<start:long,end:long,lang:string>>"
 
 
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list[str] | None = None,
-            names: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
+            names: tuple[str, str, str] = ("lang_pred", "score", "spans"), foreign: bool = False) -> DataFrame:
     """``columns`` of docs (doc_id by default) with three more: the language, a score (the share of the
     letters that are in spans of that language) and the spans: start and end as word numbers, end
-    exclusive."""
+    exclusive. With ``foreign``, texts with most of their letters in words of scripts that no language
+    uses are ``und``, with score 0 and no spans."""
     columns = columns or ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.uses))
 
@@ -188,7 +194,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list
                 yield add(part, model)
 
     def add(part, model):
-        languages, found, spans = predict_texts(part.column(text), model, switch)
+        languages, found, spans = predict_texts(part.column(text), model, switch, foreign)
         kept = part.drop_columns(["__text"]) if text == "__text" else part
         return pa.RecordBatch.from_arrays(
             [*kept.columns, pa.array(languages, pa.string()), pa.array(found, pa.float64()), pa.array(spans, pa.list_(
@@ -201,18 +207,22 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list
     return kept.mapInArrow(run, f"{fields}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` {SPAN}")
 
 
-def predict_texts(texts: pa.Array, model: Model, switch: float = SWITCH):
+def predict_texts(texts: pa.Array, model: Model, switch: float = SWITCH, foreign: bool = False):
     words, bounds = split_words(texts)
     n, kinds = len(texts), len(model.languages)
     if not len(words) or not kinds:
         return ["und"] * n, np.zeros(n), [[]] * n
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    scores, letters = model.score(coded.dictionary)
+    found = features(coded.dictionary)
+    scores, letters = model.score(coded.dictionary, found)
     labels, letters = label(scores[codes], bounds, switch), letters[codes]
     owner = np.repeat(np.arange(n), np.diff(bounds))
     share = np.bincount(owner * kinds + labels, letters, n * kinds).reshape(n, kinds)
     total, top = share.sum(axis=1), share.argmax(axis=1)
+    if foreign:
+        outside = model.foreign(found)[codes]
+        total = np.where(2 * np.bincount(owner, letters * outside, n) > total, 0, total)
     names = [model.languages[k] if has else "und" for k, has in zip(top, total > 0)]
     begins = np.flatnonzero((np.diff(labels, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
     ends = np.append(begins[1:], len(labels))

@@ -107,7 +107,7 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filetide.llm.lines import without_repeats
 
-    return without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return without_repeats(documents(spark, sf_dir).select("doc_id", "text"), least=1)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

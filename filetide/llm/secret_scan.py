@@ -4,7 +4,7 @@ Three fixed patterns give the base spans. Beyond them, every long run of key cha
 randomness over the smallest alphabet that holds it: chi-squared of its letter counts, number of runs
 above and below the middle of the alphabet, and correlation of neighbours. Runs that any test rejects
 are no secrets. For the others, the chance that an ordinary identifier changes its character class so
-often is bounded, and in each class of lengths only as many are reported as keep the share of false
+often, or has so many letters that are uncommon in words, is bounded, and in each class of lengths only as many are reported as keep the share of false
 ones below ``FALSE_SHARE`` (Benjamini and Hochberg's rule, from a histogram of all tested runs).
 
 A null text is empty and has no spans. Positions are code points, ends exclusive.
@@ -29,13 +29,16 @@ RUN = "[A-Za-z0-9+/_-]{%d,}" % LEAST_RUN
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {  # kind: letters in the order of their values
-    "random_hex": DIGITS + "abcdef", "random_upper_hex": DIGITS + "ABCDEF", "random_base32": UPPER + "234567",
+    "random_hex": DIGITS + "abcdef", "random_upper_hex": DIGITS + "ABCDEF", "random_lower": LOWER, "random_upper": UPPER,
+    "random_base32": UPPER + "234567", "random_lower_base32": LOWER + "234567", "random_base36": DIGITS + LOWER,
+    "random_upper_base36": DIGITS + UPPER,
     "random_base62": UPPER + LOWER + DIGITS, "random_base64": UPPER + LOWER + DIGITS + "+/",
     "random_base64url": UPPER + LOWER + DIGITS + "-_", "random_key": UPPER + LOWER + DIGITS + "+/-_",
 }
 KINDS = ["assign", "access", "hex", *ALPHABETS]
 REJECT = 3.0  # standard deviations at which a test rejects randomness
 CHANGE = 0.1  # an identifier changes its character class at most this often
+RARE, RARELY = "bcfgjkmpqvwxyz", 0.25  # at most this share of a word's letters; below 0.2 in en, de, fr and es
 FALSE_SHARE = 0.01
 STEP, STEPS = 0.25, 80  # bins of -log10 of the chance
 
@@ -83,14 +86,25 @@ def battery(run: Column, kind: Column) -> Column:
     return F.greatest(chi, runs, serial)
 
 
+def exceeding(share: Column, most: float, steps: Column) -> Column:
+    """-log10 of a bound on the chance of such a share in so many steps, where ``most`` is usual."""
+    share = F.least(share, F.lit(1 - 1e-9))
+    excess = share * F.log(share / most) + (1 - share) * F.log((1 - share) / (1 - most))
+    return F.when(share > most, steps * excess / math.log(10)).otherwise(0.0)
+
+
 def chance(run: Column) -> Column:
-    """-log10 of a bound on the chance that an ordinary identifier changes class so often."""
+    """-log10 of a bound on the chance that an ordinary identifier changes class so often or has so many
+    uncommon letters among its letters; the bound is doubled where there are both to choose from."""
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         run, "[a-z]+", "."), "[A-Z]+", ","), "[0-9]+", ";"), "[+/_-]+", ":")
-    steps = (F.length(run) - 1).cast("double")
-    share = F.least((F.length(classes) - 1) / steps, F.lit(1 - 1e-9))
-    excess = share * F.log(share / CHANGE) + (1 - share) * F.log((1 - share) / (1 - CHANGE))
-    return F.when(share > CHANGE, steps * excess / math.log(10)).otherwise(0.0)
+    n = F.length(run).cast("double")
+    plain = F.regexp_replace(F.lower(run), "[^a-z]+", "")
+    letters = F.length(plain).cast("double")
+    rare = letters - F.length(F.translate(plain, RARE, ""))
+    words = F.when(letters > 0, exceeding(rare / letters, RARELY, letters)).otherwise(0.0)
+    changes = exceeding((F.length(classes) - 1) / (n - 1), CHANGE, n - 1)
+    return F.when(F.length(classes) == 1, words).otherwise(F.greatest(changes, words) - math.log10(2))
 
 
 def tested_runs(text: Column) -> Column:
@@ -100,7 +114,7 @@ def tested_runs(text: Column) -> Column:
     judged = F.transform(with_kind, lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"),
         F.floor(2 * F.log2((x["end"] - x["start"]).cast("double"))).cast("int").alias("size"),
-        F.least(F.floor(chance(x["match"]) / STEP), F.lit(STEPS)).cast("int").alias("bin"),
+        F.least(F.floor(F.greatest(chance(x["match"]), F.lit(0.0)) / STEP), F.lit(STEPS)).cast("int").alias("bin"),
         (battery(x["match"], x["kind"]) < REJECT).alias("random")))
     return judged
 

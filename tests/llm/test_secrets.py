@@ -76,3 +76,23 @@ def test_no_python_runs(spark):
     from helpers import plan
 
     assert not re.search("EvalPython|InArrow|InPandas", plan(S.scan(odd_documents(spark))))
+
+
+def test_recall_and_false_reports_by_encoding(spark):
+    rng = random.Random(9)
+    names = ["random_hex", "random_upper_hex", "random_lower", "random_upper", "random_base32", "random_lower_base32",
+             "random_base36", "random_upper_base36", "random_base62", "random_base64"]
+    # Letters by their frequency in English, as in long words and names run together.
+    common = "etaoinshrdlu" * 6 + "etaoin" * 6 + "cmfwypvbgk" * 2
+    words = ["".join(rng.choice(common) for _ in range(n)) for n in (24, 32, 48, 64) for _ in range(100)]
+    words += [w.upper() for w in words] + [f"{w[:10]}_{w[10:]}{i % 10}" for i, w in enumerate(words)]
+    keys = [(name, n, "".join(rng.choice(S.ALPHABETS[name]) for _ in range(n)))
+            for name in names for n in (32, 48, 64) for _ in range(30)]
+    found = [{x[1] for x in f if x[1] >= 3} for f in scanned(spark, [k for _, _, k in keys] + words)]
+    hits = {}
+    for (name, n, _), f in zip(keys, found):
+        hits[name, n] = hits.get((name, n), 0) + bool(f)
+    least = {32: 15, 48: 20, 64: 24}
+    assert {k: v for k, v in hits.items() if v < least[k[1]]} == {}, hits
+    assert sum(map(bool, found[len(keys):])) <= 0.02 * sum(hits.values())
+    assert [len(x) for x in S.ALPHABETS.values()] == sorted(len(x) for x in S.ALPHABETS.values())

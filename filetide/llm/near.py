@@ -89,7 +89,9 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, the set's digest (null if empty) and its registers."""
+    """doc_id, n_shingles, the set's digest (null if empty), its registers, and version if docs have it."""
+    extra = [c for c in docs.columns if c == "version"]
+
     def run(batches):
         for batch in batches:
             for part in slices(batch):
@@ -100,10 +102,11 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) for s in sets], pa.binary()),
                     pa.array([row.tobytes() if len(s) else None for row, s in zip(sketch, sets)], pa.binary()),
-                ], ["doc_id", "n_shingles", "node", "registers"])
+                    *[part.column(c) for c in extra],
+                ], ["doc_id", "n_shingles", "node", "registers", *extra])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node binary, registers binary")
+    return docs.select("doc_id", "text", *extra).mapInArrow(
+        run, "doc_id long, n_shingles long, node binary, registers binary" + ", version long" * len(extra))
 
 
 def digest(s: np.ndarray) -> bytes | None:
@@ -269,13 +272,19 @@ def block_links(group: pa.Table, percent: int) -> list[tuple[bytes, bytes]]:
     return links
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, versions: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id that links reach) and kept, for every row of
-    ``docs`` (doc_id, text). Two documents are linked when 100 * intersection >= percent * union."""
-    sketched = keep(sketches(docs, size), "sketches")
+    ``docs`` (doc_id, text). Two documents are linked when 100 * intersection >= percent * union. With
+    ``versions`` also version, a hash of the text, and of the texts under the kept doc_id only that with
+    the least version is kept."""
+    whole = docs.select("doc_id", "text", *[F.xxhash64("text").alias("version")] * versions)
+    sketched = keep(sketches(whole, size), "sketches")
+    least = F.min(F.struct("doc_id", *["version"] * versions))
     classes = keep(sketched.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("registers").alias("registers")), "classes")
+        F.first("registers").alias("registers"), *[least.alias("head")] * versions), "classes")
+    heads_of = classes.select("node", "first_id", *["head"] * versions)
+    classes = classes.drop("head")
     in_bands = bands(classes)
     common = in_bands.groupBy("key").count().filter("count > 1").select("key")
     together = keep(in_bands.join(common, "key"), "together").join(
@@ -298,12 +307,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     more = keep(across(labelled.join(mixed, "key"), sets, percent), "confirmed")
     if not more.isEmpty():
         label = components(links.union(more))
-    members = classes.select("node", "first_id").join(label, "node", "left").select(
-        "node", "first_id", F.coalesce("component", "node").alias("component"))
-    heads = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_node = members.join(heads, "component").select("node", "component_id")
+    members = heads_of.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    heads = members.groupBy("component").agg(
+        F.min("first_id").alias("component_id"), *[F.min("head").alias("head")] * versions)
+    of_node = members.select("node", "component").join(heads, "component").drop("component")
     empty = F.col("node").isNull() | F.col("doc_id").isNull()
-    linked = sketched.filter(~empty).select("doc_id", "n_shingles", "node").join(of_node, "node").select(
-        "doc_id", "n_shingles", "component_id")
-    alone = sketched.filter(empty).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = ["doc_id", "n_shingles", *["version"] * versions]
+    linked = sketched.filter(~empty).select(*own, "node").join(of_node, "node")
+    alone = sketched.filter(empty).select(*own, F.col("doc_id").alias("component_id"))
+    if not versions:
+        every = linked.select(*own, "component_id").union(alone)
+        return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return linked.select(*own, "component_id", (F.struct("doc_id", "version") == F.col("head")).alias("kept")).union(
+        alone.withColumn("kept", F.lit(True)))

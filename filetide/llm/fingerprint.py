@@ -143,8 +143,9 @@ def with_successor(docs: DataFrame) -> DataFrame:
     def edges(task, first, last):
         return pa.RecordBatch.from_arrays(
             [pa.nulls(1, f.type) for f in plain] + [pa.array([task], pa.int64())] + [
-                pa.array([x]) for x in (first[1], last[0], last[1])],
-            [f.name for f in plain] + ["task", "first_text", "last_id", "last_text"])
+                pa.array([x], t) for x, t in ((first[1], pa.string()), (last[0], pa.int64()), (last[1], pa.string()),
+                                              (True, pa.bool_()))],
+            [f.name for f in plain] + ["task", "first_text", "last_id", "last_text", "edge"])
 
     def results(rows, task):
         if len(rows) > 1:
@@ -152,15 +153,15 @@ def with_successor(docs: DataFrame) -> DataFrame:
             n = len(rows) - 1
             yield pa.RecordBatch.from_arrays(
                 columns + [pa.array(np.full(n, task)), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()),
-                           pa.nulls(n, pa.string())],
-                [f.name for f in plain] + ["task", "first_text", "last_id", "last_text"])
+                           pa.nulls(n, pa.string()), pa.array(np.zeros(n, bool))],
+                [f.name for f in plain] + ["task", "first_text", "last_id", "last_text", "edge"])
 
     plain = [pa.field("doc_id", pa.int64()), pa.field("n_chars", pa.int64()), pa.field("edited_sha256", pa.string()),
              pa.field("fingerprint", pa.string()), pa.field("edited_fingerprint", pa.string()),
              pa.field("near_edited", pa.float64()), pa.field("near_next", pa.float64())]
-    done = keep(dealt.mapInArrow(run, f"{RESULT}, task long, first_text string, last_id long, last_text string"),
+    done = keep(dealt.mapInArrow(run, f"{RESULT}, task long, first_text string, last_id long, last_text string, edge boolean"),
                 "successors")
-    ends = done.filter(F.col("last_id").isNotNull())
+    ends = done.filter("edge")
     in_order = Window.orderBy("task")  # one row for each range
     around = Window.partitionBy()
     ends = ends.withColumn("__next", F.coalesce(
@@ -173,7 +174,7 @@ def with_successor(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(result_columns(rows, following), [f.name for f in plain])
 
     last = ends.select("last_id", "last_text", "__next").mapInArrow(join_ends, RESULT)
-    return done.filter(F.col("last_id").isNull()).select(*last.columns).unionByName(last)
+    return done.filter("not edge").select(*last.columns).unionByName(last)
 
 
 def result_columns(rows, following) -> list[pa.Array]:

@@ -174,8 +174,8 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     common = every.groupBy("anchor").count().filter("count > 1").select("anchor")
     left = keep(every.join(common, "anchor"), "segments")
     own = keep(left.groupBy("anchor", "segment").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"),
-        F.min_by("place", F.struct("doc_id", "place")).alias("place")), "ranks")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).select(
+            "anchor", "segment", "n", "first.*"), "ranks")
     classes = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least")).filter(
         "size > 1 and least = 1")
     chosen = own.join(classes, "anchor").select("anchor", (F.col("n") == 1).alias("single"), "size", "doc_id", "place")

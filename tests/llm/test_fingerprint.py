@@ -71,3 +71,18 @@ def test_blocks_and_few_documents(spark, monkeypatch):
     one = P.with_successor(docs.limit(1)).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert P.with_successor(no_documents(spark)).collect() == []
+
+
+def test_ranges_of_null_numbers(spark):
+    rows = [(None, f"no number {i} of many") for i in range(40)] + [(i, f"text {i} of some") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
+    want = []
+    for i, text in enumerate(texts):
+        changed = P.edited(text, texts[(i + 1) % len(texts)])
+        want.append((len(text), hashlib.sha256(changed.encode()).hexdigest()))
+    got = P.with_successor(docs).collect()
+    assert sorted((r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
+    assert sum(r["doc_id"] is None for r in got) == 40
+    some = spark.createDataFrame(rows[:5], "doc_id long, text string")
+    assert sorted(r["n_chars"] for r in P.with_successor(some).collect()) == sorted(len(t) for _, t in rows[:5])

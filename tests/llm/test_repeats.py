@@ -55,3 +55,17 @@ def test_runs_of_one_letter_and_null_numbers(spark):
 
 def test_no_documents(spark):
     assert repeats.remove_repeats(no_documents(spark)).collect() == []
+
+
+def test_many_null_numbers_against_all_strings(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcd é") for _ in range(90))
+    rows = []
+    for i in range(60):
+        a, b = sorted(rng.sample(range(91), 2))
+        own = "".join(rng.choice("abcd é") for _ in range(rng.randrange(80)))
+        rows.append((None if i % 3 else 60 - i, own + passage[a:b] + own[:20] + passage[b // 2:]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    compare(docs, length=30, seed=8)
+    monkeypatch.setattr(repeats, "CLASS", 2)
+    compare(docs, length=30, seed=8)

@@ -110,6 +110,26 @@ def op10_line_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir).select("doc_id", "text"), least=1)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.divergence import divergence
+
+    return divergence(documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.spelling import variants
+
+    return variants(documents(spark, sf_dir))
+
+
+def op13_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filetide.llm.archives import read_archives, write_archives
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return read_archives(write_archives(pages)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -117,9 +137,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t-\\r]+')"
 
 
+TERMS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+         "'[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+
 def oracle_sql() -> dict[str, str]:
-    """For what SQL can say: exact links by a join on shingles, and exact neighbours by all products."""
+    """For what SQL can say: exact links by a join on shingles, exact neighbours by all products, exact
+    shares of words, and the records that a page should give."""
     return {
+        "op11_source_divergence": f"""WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+              coalesce(source, '') AS source FROM documents
+          ), each AS (SELECT r, lang, source, unnest({TERMS}) AS term FROM d
+          ), kept AS (SELECT lang, term FROM each GROUP BY ALL HAVING count(DISTINCT r) >= 10
+          ), counts AS (
+            SELECT lang, source, term, count(*) AS n FROM each JOIN kept USING (lang, term) GROUP BY ALL
+          ), groups AS (SELECT DISTINCT lang, source FROM d
+          ), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1
+          ), of_group AS (
+            SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total, v
+            FROM groups JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counts USING (lang, source, term)
+          ), shared AS (
+            SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS HUGEINT) AS p
+            FROM of_group
+          ), of_lang AS (SELECT lang, term, sum(n) AS n FROM of_group GROUP BY ALL
+          ), lang_total AS (SELECT lang, sum(n) AS total FROM of_lang GROUP BY 1
+          ), whole AS (
+            SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS HUGEINT) AS q
+            FROM of_lang JOIN lang_total USING (lang) JOIN sizes USING (lang)
+          ), rows AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sum(
+              ((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0) AS BIGINT) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN shared x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN shared y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY ALL
+            UNION ALL
+            SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT)
+            FROM shared JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+          ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM rows)
+          SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""",
+        "op13_zip_archives": """WITH p AS (
+            SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+              sha1(coalesce(html, '')) AS payload_digest FROM pages
+          ), last AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS l FROM p)
+          SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND l <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND l <> page_id THEN l END AS refers_to FROM last""",
         "op3_hyperminhash": f"""WITH RECURSIVE worded AS (
             SELECT doc_id, {WORDS} AS w FROM documents
           ), shingled AS (

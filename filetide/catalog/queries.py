@@ -21,7 +21,7 @@ from filetide.sources.messages import read_messages, union_sources
 from filetide.sources.tables import raw_view, read_raw, read_rollup
 from filetide.storage import layout, tables
 from filetide.streaming import maintain, metrics
-from filetide.streaming.ingest import commit_batch, write_raw
+from filetide.streaming.ingest import commit_batch, store_batch, write_raw
 from filetide.streaming.upkeep import upkeep
 
 FILES_PER_BATCH = 64
@@ -361,6 +361,37 @@ def snk9_two_jobs(spark, sf_dir):
     return D.count_by(read_raw(spark, root), "event_date", "source_exchange")
 
 
+class _Lost(Exception):
+    """The driver is gone."""
+
+
+def _dying(at):
+    def step(name):
+        if name == at:
+            raise _Lost(name)
+
+    return step
+
+
+def snk10_lost_drivers(spark, sf_dir):
+    """Exact usage after jobs that were lost at each step of a batch: six come back and do it again, one never
+    does, and its messages go to another job."""
+    root = workspace(prepare(spark), "lost")
+    rows = X.event_records(spark, sf_dir)
+    job = F.pmod(F.xxhash64("event_id", "delivery"), F.lit(8))
+    share = lambda n: rows.filter(job == n).drop("delivery")
+    steps = ["marked", "claimed", "noted", "written", "stored", "counted"]
+    for n, step in enumerate([*steps, "written", None]):
+        try:
+            store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", _dying(step))
+        except _Lost:
+            if n < len(steps):
+                store_batch(share(n), 0, root, f"{root}/checkpoint-{n}")
+    upkeep(spark, root, X.AS_OF, raw_days=100_000, rollup_years=1000, lease_seconds=-1)
+    store_batch(share(len(steps)), 1, root, f"{root}/checkpoint-{len(steps) + 1}")
+    return _ntz(R.totals(read_rollup(spark, root), ["hour", "vo"], R.HOURLY))
+
+
 def _after_upkeep(spark, sf_dir, as_of, days):
     root = _own_copy(spark, sf_dir, "expired")
     upkeep(spark, root, as_of, specs=(R.HOURLY,), raw_days=days)
@@ -553,7 +584,7 @@ QUERIES = [
     nrm7_flags, nrm8_server_ip, nrm9_event_id, nrm10_operation, nrm11_buckets, nrm12_json_string,
     ddp1_dedup_latest, ddp2_raw_view, ddp3_compact_raw, ddp4_drop_recent_duplicates, ddp5_duplicate_report,
     ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout,
-    snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs,
+    snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs, snk10_lost_drivers,
     ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
     agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg6_incremental,
     agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg8_compact_rollup, agg9_backfill,

@@ -5,6 +5,11 @@ Below its day, a row lives in ``merged=0/batch_id=N`` (written by batch N) or
 per day, the highest merged result and the batches after it. So a replayed batch replaces itself,
 or is ignored once merged; and publishing a merged day needs no lock: it appears as one new
 directory, whose predecessors are removed afterwards.
+
+Rollups have a third kind: a row in ``merged=2/batch_id=N`` stands for every state of its own group, and
+of no other, up to batch N. It is written where a batch revised events that had been counted. Rows that
+count no event only say that the batch has been seen. Numbers under ``_void`` were given up by their jobs:
+what was written under them is not read.
 """
 
 from __future__ import annotations
@@ -24,6 +29,9 @@ RAW = "raw"
 RAW_DAY = "event_date"
 ROLLUP_DAY = "bucket_date"
 
+ADDED, MERGED, REPLACED = 0, 1, 2
+
+
 class Part(NamedTuple):
     day: date
     merged: int
@@ -96,7 +104,7 @@ def merged_through(found: list[Part]) -> dict[date, int]:
     """Per day with a merged result, the last batch it covers."""
     through: dict[date, int] = {}
     for part in found:
-        if part.merged:
+        if part.merged == MERGED:
             through[part.day] = max(part.batch_id, through.get(part.day, part.batch_id))
     return through
 
@@ -108,6 +116,11 @@ def latest_batches(found: list[Part]) -> dict[date, int]:
     return dict(latest)
 
 
+def built_through(found: list[Part]) -> dict[date, int]:
+    """Per day the last batch that a rollup has taken in as a whole."""
+    return latest_batches([p for p in found if p.merged != REPLACED])
+
+
 def by_day(values: dict[date, int], day_column: str) -> Column:
     """A batch number per day as a lookup on the partition column; NULL for other days."""
     if not values:
@@ -117,21 +130,37 @@ def by_day(values: dict[date, int], day_column: str) -> Column:
     return F.try_element_at(lookup, F.col(day_column)).cast("bigint")
 
 
-def read_parts(spark: SparkSession, path: str, schema: T.StructType, day_column: str,
-               days=None) -> DataFrame:
-    """The rows a reader should see, of all days or only of ``days``, whose folders alone are
-    listed then. Directories that a merged result replaces are left out by name."""
-    shown = visible(parts(spark, path, day_column, days))
+def voided(spark: SparkSession, root: str) -> set[int]:
+    """Batch numbers that were given up."""
+    fs, target = filesystem(spark, f"{root}/_void/*")
+    return {int(s.getPath().getName().split("-", 1)[0]) for s in fs.globStatus(target) or []}
+
+
+def read_shown(spark: SparkSession, path: str, schema: T.StructType, shown: list[Part]) -> DataFrame:
+    """The rows of some directories of one table."""
     if not shown:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(*[p.path for p in shown])
 
 
+def read_parts(spark: SparkSession, root: str, name: str, schema: T.StructType, day_column: str,
+               days=None) -> DataFrame:
+    """The rows a reader should see, of all days or only of ``days``, whose folders alone are
+    listed then. Directories that a merged result replaces are left out by name."""
+    path = table_path(root, name)
+    return read_shown(spark, path, schema, visible(_living(spark, root, parts(spark, path, day_column, days))))
+
+
+def _living(spark: SparkSession, root: str, found: list[Part]) -> list[Part]:
+    void = voided(spark, root)
+    return [p for p in found if p.batch_id not in void]
+
+
 def visible(found: list[Part]) -> list[Part]:
     """Per day the highest merged result and the batches after it."""
     through = merged_through(found)
     return [p for p in found if p.day not in through or p.batch_id > through[p.day]
-            or (p.merged and p.batch_id == through[p.day])]
+            or (p.merged == MERGED and p.batch_id == through[p.day])]
 
 
 def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int = 0,
@@ -152,9 +181,9 @@ def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int
 
 
 def vacuum(spark: SparkSession, path: str, day_column: str, days=None) -> list[str]:
-    """Removes the directories that merged results replace."""
+    """Removes the directories that merged results replace, and those of numbers that were given up."""
     found = parts(spark, path, day_column, days)
-    shown = set(visible(found))
+    shown = set(visible(_living(spark, path.rsplit("/", 1)[0], found)))
     stale = [p.path for p in found if p not in shown]
     for where in stale:
         delete(spark, where)
@@ -181,17 +210,42 @@ def raw_path(root: str) -> str:
     return table_path(root, RAW)
 
 
-def raw_parts(spark: SparkSession, root: str, days=None) -> list[Part]:
-    return parts(spark, raw_path(root), RAW_DAY, days)
+def raw_parts(spark: SparkSession, root: str, days=None, hidden: bool = False) -> list[Part]:
+    found = parts(spark, raw_path(root), RAW_DAY, days)
+    return found if hidden else _living(spark, root, found)
 
 
 def read_raw_parts(spark: SparkSession, root: str, days=None) -> DataFrame:
-    return read_parts(spark, raw_path(root), RAW_TABLE, RAW_DAY, days)
+    return read_parts(spark, root, RAW, RAW_TABLE, RAW_DAY, days)
 
 
 def rollup_parts(spark: SparkSession, root: str, spec: RollupSpec, days=None) -> list[Part]:
-    return parts(spark, table_path(root, spec.name), ROLLUP_DAY, days)
-
-
-def read_rollup_parts(spark: SparkSession, root: str, spec: RollupSpec, days=None) -> DataFrame:
-    return read_parts(spark, table_path(root, spec.name), rollup_schema(spec), ROLLUP_DAY, days)
+    return _living(spark, root, parts(spark, table_path(root, spec.name), ROLLUP_DAY, days))
+
+
+def read_rollup_parts(spark: SparkSession, root: str, spec: RollupSpec, days=None,
+                      through: dict[date, int] | None = None) -> DataFrame:
+    """The states a reader should see; with ``through``, as they were after these batches."""
+    found = rollup_parts(spark, root, spec, days)
+    if through is not None:
+        found = [p for p in found if p.batch_id <= through.get(p.day, -1)]
+    built = built_through(found)
+    # What replaces groups counts from the moment its batch has been published as a whole.
+    shown = visible([p for p in found if p.merged != REPLACED or p.batch_id <= built.get(p.day, -1)])
+    path, schema = table_path(root, spec.name), rollup_schema(spec)
+    revised = {p.day for p in shown if p.merged == REPLACED}
+    rows = read_shown(spark, path, schema, [p for p in shown if p.day not in revised])
+    if revised:
+        rows = rows.union(without_replaced(
+            read_shown(spark, path, schema, [p for p in shown if p.day in revised]), [ROLLUP_DAY, *spec.keys]))
+    return rows.filter(F.col(state(spec.count)) != 0)
+
+
+def without_replaced(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` of a rollup without those that a later row of their group stands for."""
+    last = rows.filter(F.col("merged") == REPLACED).groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.max("batch_id").alias("_last"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    stands = F.col("_last").isNull() | (F.col("batch_id") > F.col("_last")) | (
+        (F.col("batch_id") == F.col("_last")) & (F.col("merged") == REPLACED))
+    return rows.join(last, same, "left").filter(stands).select(*rows.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from filetide.functions import columns as C
 from filetide.operators.dedup import dedup_latest
-from filetide.operators.rollup import DAILY, HOURLY, RollupSpec, merge_states
+from filetide.operators.rollup import DAILY, HOURLY, RollupSpec, merge_states, state
 from filetide.schema import EVENT_KEY, RAW_TABLE, VERSION
 from filetide.session import prepare
 from filetide.storage import layout
@@ -51,10 +51,15 @@ def touched_days(df: DataFrame, day_column: str = layout.RAW_DAY,
     return sorted(days)
 
 
+def raw_order() -> list:
+    """Hours apart, so that a reader of some hours skips the rest of a day; within them by server and time."""
+    return [F.date_trunc("hour", F.col("event_time")), *EVENT_KEY]
+
+
 def append_raw(df: DataFrame, root: str, batch_id: int) -> None:
     """Writes one batch of raw rows; writing the same batch again replaces it."""
     prepare(df.sparkSession)
-    layout.write_parts(as_raw(df), layout.raw_path(root), layout.RAW_DAY, batch_id, order=EVENT_KEY)
+    layout.write_parts(as_raw(df), layout.raw_path(root), layout.RAW_DAY, batch_id, order=raw_order())
 
 
 def append_rollup(states: DataFrame, root: str, spec: RollupSpec, batch_id, merged: int = 0) -> None:
@@ -74,7 +79,7 @@ def write_quarantine(df: DataFrame, root: str, batch_id: int) -> None:
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     shape = T.StructType([f for f in RAW_TABLE if f.name in (
         "source_exchange", "raw_json", VERSION, "event_time", layout.RAW_DAY, "merged", "batch_id")])
-    return layout.read_parts(spark, layout.table_path(root, QUARANTINE), shape, layout.RAW_DAY)
+    return layout.read_parts(spark, root, QUARANTINE, shape, layout.RAW_DAY)
 
 
 def write_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> None:
@@ -103,20 +108,36 @@ def ensure_tables(spark: SparkSession, root: str, database: str = "filetide",
             f"CREATE TABLE IF NOT EXISTS {files} ({columns}) USING parquet "
             f"PARTITIONED BY (`{day}`, merged, batch_id) LOCATION '{layout.table_path(root, name)}'")
         spark.sql(f"MSCK REPAIR TABLE {files} SYNC PARTITIONS")
-        spark.sql(
-            f"CREATE VIEW IF NOT EXISTS `{database}`.`{name}` AS SELECT f.* FROM {files} f LEFT JOIN "
-            f"(SELECT `{day}` AS d, max(batch_id) AS through FROM {files} WHERE merged = 1 GROUP BY `{day}`) m "
-            f"ON f.`{day}` = m.d WHERE m.d IS NULL OR f.batch_id > m.through "
-            f"OR (f.merged = 1 AND f.batch_id = m.through)")
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS " + _reader_sql(
+            files, day, next((s for s in specs if s.name == name), None), layout.voided(spark, root)))
         names.append(f"{database}.{name}")
     return names
 
 
+def _reader_sql(files: str, day: str, spec: RollupSpec | None, void: set[int]) -> str:
+    """What a reader sees, in SQL: ``spec`` is that of a rollup, whose groups may have been replaced."""
+    living = f"(SELECT * FROM {files} WHERE batch_id NOT IN ({', '.join(map(str, sorted(void)))}))" if void else files
+    of_day = (f"(SELECT `{day}` AS d, max(CASE WHEN merged = 1 THEN batch_id END) AS through, "
+              f"max(CASE WHEN merged <> 2 THEN batch_id END) AS built FROM {living} GROUP BY `{day}`)")
+    rows = (f"SELECT f.* FROM {living} f JOIN {of_day} m ON f.`{day}` = m.d", "WHERE (m.through IS NULL OR "
+            "f.batch_id > m.through OR (f.merged = 1 AND f.batch_id = m.through))")
+    if spec is None:
+        return " ".join(rows)
+    keys = [day, *spec.keys]
+    named = ", ".join(f"x.`{k}`" for k in keys)
+    last = (f"(SELECT {named}, max(x.batch_id) AS last FROM {living} x JOIN {of_day} y ON x.`{day}` = y.d "
+            f"WHERE x.merged = 2 AND x.batch_id <= y.built AND (y.through IS NULL OR x.batch_id > y.through) GROUP BY {named})")
+    same = " AND ".join(f"f.`{k}` <=> r.`{k}`" for k in keys)
+    return (f"{rows[0]} LEFT JOIN {last} r ON {same} {rows[1]} AND (f.merged <> 2 OR f.batch_id <= m.built) AND "
+            f"(r.last IS NULL OR f.batch_id > r.last OR (f.batch_id = r.last AND f.merged = 2)) "
+            f"AND f.`{state(spec.count)}` <> 0")
+
+
 def _open_days(found: list[layout.Part], settled: int | None) -> dict[date, int]:
     """Last batch, up to ``settled``, of each day that is not a single merged result already."""
     shown = [p for p in layout.visible(found) if settled is None or p.batch_id <= settled]
     latest = layout.latest_batches(shown)
-    return {d: n for d, n in latest.items() if any(p.day == d and not p.merged for p in shown)}
+    return {d: n for d, n in latest.items() if any(p.day == d and p.merged != layout.MERGED for p in shown)}
 
 
 def _compact(rows: DataFrame, path: str, day_column: str, days: dict[date, int], shrink, order,
@@ -144,7 +165,7 @@ def compact_raw(spark: SparkSession, root: str, days=None, clean: bool = True) -
     found = [p for p in layout.raw_parts(spark, root, days) if horizon is None or p.day > horizon]
     chosen = _open_days(found, settled(spark, root))
     return _compact(layout.read_raw_parts(spark, root, chosen), layout.raw_path(root),
-                    layout.RAW_DAY, chosen, dedup_latest, EVENT_KEY, clean, days)
+                    layout.RAW_DAY, chosen, dedup_latest, raw_order(), clean, days)
 
 
 def compact_rollup(spark: SparkSession, root: str, spec: RollupSpec, days=None, clean: bool = True) -> list[date]:
@@ -157,6 +178,6 @@ def compact_rollup(spark: SparkSession, root: str, spec: RollupSpec, days=None,
     found = layout.rollup_parts(spark, root, spec, days)
     # Late batches of expired days must stay apart from what is not yet known to be counted.
     chosen = _open_days(found, settled(spark, root))
-    return _compact(layout.read_rollup_parts(spark, root, spec, chosen),
+    return _compact(layout.read_rollup_parts(spark, root, spec, chosen, chosen),
                     layout.table_path(root, spec.name), layout.ROLLUP_DAY, chosen, merge,
                     spec.keys, clean, days)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filetide.storage.layout import table_path
+from filetide.storage.layout import table_path, voided
 
 BATCHES, COMMITS = "batch_metrics", "commits"
 # Upper bounds in seconds, twelve buckets doubling from 5 ms.
@@ -51,7 +51,9 @@ def record_commit(spark: SparkSession, batch_id: int, root: str, latency: float,
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_BATCHES).parquet(table_path(root, BATCHES))
+    """Without the batches whose numbers were given up; their messages come again under others."""
+    void = [F.lit(n) for n in sorted(voided(spark, root))]
+    return spark.read.schema(_BATCHES).parquet(table_path(root, BATCHES)).filter(~F.col("batch_id").isin(void))
 
 
 def read_commits(spark: SparkSession, root: str) -> DataFrame:

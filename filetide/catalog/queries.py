@@ -383,10 +383,10 @@ def snk10_lost_drivers(spark, sf_dir):
     steps = ["marked", "claimed", "noted", "written", "stored", "counted"]
     for n, step in enumerate([*steps, "written", None]):
         try:
-            store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", _dying(step))
+            store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", _dying(step), refresh_every=3)
         except _Lost:
             if n < len(steps):
-                store_batch(share(n), 0, root, f"{root}/checkpoint-{n}")
+                store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", refresh_every=3)
     upkeep(spark, root, X.AS_OF, raw_days=100_000, rollup_years=1000, lease_seconds=-1)
     store_batch(share(len(steps)), 1, root, f"{root}/checkpoint-{len(steps) + 1}")
     return _ntz(R.totals(read_rollup(spark, root), ["hour", "vo"], R.HOURLY))

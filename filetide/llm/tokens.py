@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,13 +12,16 @@ from filetide.llm.words import ranges, split_words
 
 PLAIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"  # words that are one piece to the tokenizer
 MARKED = "^([a-zÀ-ÖØ-öø-ÿ]+)[.,;:!?|]$"  # such a word and one mark, which is a piece of its own
+SAMPLES = ("Straße, ÉTÉ and don't: 3.14\t(x_y)\n日本語 😀 A-B", "MiXed  CASE,words!", "a\x0bb\x0cc\rd", "…“q”?!")
 CACHED_WORDS = 400_000
 CACHED_IDS = 4_000_000
 
 
 class WordTokens:
     """Encodes word by word, which is exact for a tokenizer that lowers case, drops white space and
-    never merges across it. ``word_end`` ends the last token of every piece in the vocabulary."""
+    never merges across it; others are refused. ``word_end`` ends the last token of every piece in the
+    vocabulary. Added tokens are found in a text as it is written, before case is lowered: a word that holds
+    one, in whatever case, keeps its case."""
 
     def __init__(self, path: str, word_end: str = "</w>"):
         import os
@@ -33,7 +38,12 @@ class WordTokens:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith(word_end)
+        self.added = sorted({str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()})
         self._forget()
+        for text in (*SAMPLES, *(f"Ab{t}. {t.upper()}x {t.swapcase()}" for t in self.added)):
+            whole = self.tokenizer.encode(text, add_special_tokens=False).ids
+            if self.encode(pa.array([text]))[0].tolist() != whole:
+                raise ValueError(f"{path} does not encode word by word: {text!r}")
 
     def _forget(self):
         self.place: dict[str, int] = {}
@@ -76,7 +86,11 @@ class WordTokens:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the bounds of each text's ids."""
         words, bounds = split_words(texts)
-        coded = pc.ascii_lower(words).dictionary_encode()
+        lower = pc.ascii_lower(words)
+        if self.added:
+            special = pc.match_substring_regex(lower, "|".join(re.escape(t.lower()) for t in self.added))
+            lower = pc.if_else(special, words, lower)
+        coded = lower.dictionary_encode()
         distinct = coded.dictionary
         if not len(distinct):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)

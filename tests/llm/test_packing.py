@@ -92,3 +92,34 @@ def test_leftovers_of_many_tasks_meet(spark, monkeypatch, fan):
         at[r["sequence_id"]] = r["offset"] + r["length"]
     assert sorted(r["id"] for r in rows) == list(range(900))
     assert max(at.values()) <= packing.CAPACITY and len(at) <= sum(at.values()) / packing.CAPACITY * 1.05 + 1
+
+
+def test_added_tokens_in_any_case():
+    import random
+
+    import pyarrow as pa
+
+    coder = WordTokens(PATH)
+    rng = random.Random(7)
+    pieces = [p for t in coder.added for p in (t, t.upper(), t.swapcase(), t.capitalize(), t[:-1], t[1:])]
+    pieces += ["a", "Word", ".", ",", " ", "\n", "<|", "|>", "É", "日"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    ids, bounds = coder.encode(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packed_documents_with_special_tokens(spark):
+    docs = [(i, t) for i, t in enumerate(["<|STARTOFTEXT|> x <|endoftext|>", "a<|EndOfText|>b " * 900, "<|ENDOFTEXT|>"])]
+    packed = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), PATH).collect()
+    check(packed, docs)
+
+
+def test_a_tokenizer_that_joins_words_is_refused(tmp_path):
+    from tokenizers import Tokenizer, models
+
+    path = str(tmp_path / "other.json")
+    tokenizer = Tokenizer(models.WordLevel({"a": 0, "[UNK]": 1}, unk_token="[UNK]"))
+    tokenizer.save(path)
+    with pytest.raises(ValueError):
+        WordTokens(path)

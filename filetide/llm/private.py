@@ -7,7 +7,8 @@ groups and accounts of their country's length at any place, then the other forma
 readings of cards. A valid value is replaced by another valid one of
 the same format under a keyed Feistel permutation: an alternating network whose halves are added to,
 modulo their size, a keyed hash of the other half. It is a permutation, so different values stay
-different, and equal values of a format get equal pseudonyms in all documents. Values are compared by
+different, and equal values of a format get equal pseudonyms in all documents. Phone numbers whose area and
+exchange codes can exist, private addresses and public ones stay so. Values are compared by
 their letters and digits; separators stay where they are. What fails validation stays as it is.
 
 Null texts stay null and have no matches; all columns of the input are kept.
@@ -23,7 +24,7 @@ FIRST_DAY = "1900-01-01"
 DAY_SIZES = (270, 271)  # 73,170 days from FIRST_DAY; other dates stay
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FORMATS = {  # tried in this order at each position
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9]|[./-][0-9])",
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
@@ -59,7 +60,7 @@ def _keyed(key: str, *parts: Column) -> Column:
                               1, 15), 16, 10).cast("bigint")
 
 
-def permute_pair(left: Column, right: Column, sizes: tuple[int, int], key: str, format: str) -> Column:
+def permute_pair(left: Column, right: Column, sizes: tuple, key: str, format: str | Column) -> Column:
     """A permutation of pairs of numbers below ``sizes``, as a struct (l, r)."""
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(left.cast("bigint").alias("l"), right.cast("bigint").alias("r")),
@@ -90,6 +91,81 @@ def permute_letters(value: Column, key: str, format: str) -> Column:
         lambda s: F.concat(s["l"], s["r"]))
 
 
+def once(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once, however often it is named."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _code(number: Column) -> Column:
+    """Whether three digits are an area or exchange code that can exist (``real``), their place among those
+    that can, or else among those that cannot, and how many there are."""
+    real = (number >= 200) & (number % 100 != 11)
+    place = F.when(real, 99 * (F.floor(number / 100) - 2) + number % 100 - F.when(number % 100 > 11, 1).otherwise(0)).when(
+        number < 200, number).otherwise(198 + F.floor(number / 100))
+    return F.struct(real.alias("real"), place.cast("bigint").alias("place"), F.when(real, 792).otherwise(208).alias("of"))
+
+
+def _from_code(real: Column, place: Column) -> Column:
+    rest = place % 99
+    number = F.when(real, 200 + 100 * F.floor(place / 99) + rest + F.when(rest >= 11, 1).otherwise(0)).otherwise(
+        F.when(place < 200, place).otherwise((place - 198) * 100 + 11))
+    return F.lpad(number.cast("bigint").cast("string"), 3, "0")
+
+
+def permute_phone(number: Column, key: str) -> Column:
+    """A permutation of ten digits under which codes that can exist stay such, and others others."""
+    digits = lambda n, at, size: F.substring(n, at, size).cast("int")
+    parts = once(number, lambda n: F.struct(
+        _code(digits(n, 1, 3)).alias("a"), _code(digits(n, 4, 3)).alias("b"), digits(n, 7, 4).alias("line")))
+    new = lambda x: permute_pair(
+        x["a"]["place"], x["b"]["place"] * 10_000 + x["line"], (x["a"]["of"], x["b"]["of"] * 10_000), key,
+        F.concat_ws("-", F.lit("phone"), x["a"]["real"].cast("string"), x["b"]["real"].cast("string")))
+    return once(parts, lambda x: once(new(x), lambda s: F.concat(
+        _from_code(x["a"]["real"], s["l"]), _from_code(x["b"]["real"], F.floor(s["r"] / 10_000)),
+        F.lpad((s["r"] % 10_000).cast("string"), 4, "0"))))
+
+
+# Blocks that no public host has, by first octet, with the range of the second.
+RESERVED = {0: (0, 255), 10: (0, 255), 100: (64, 127), 127: (0, 255), 169: (254, 254), 172: (16, 31), 192: (168, 168),
+            198: (18, 19)}
+LAST_UNICAST = 223
+
+
+def permute_address(value: Column, key: str) -> Column:
+    """A permutation of addresses under which reserved blocks, the rest of their first octets, and each first
+    octet beyond unicast stay among themselves, and public addresses public."""
+    octets = once(F.transform(F.split(value, r"\."), lambda x: x.cast("int")), lambda x: F.struct(*[
+        x[i].alias(name) for i, name in enumerate("abcd")]))
+
+    def placed(x):
+        low, high = F.lit(0), F.lit(255)
+        for first, (least, most) in RESERVED.items():
+            low, high = F.when(x["a"] == first, least).otherwise(low), F.when(x["a"] == first, most).otherwise(high)
+        below = sum((F.when(x["a"] > first, 1).otherwise(0) for first in RESERVED), F.lit(0))
+        return F.struct(x["a"].alias("a"), x["b"].alias("b"), (x["c"] * 256 + x["d"]).alias("rest"), low.alias("low"), (
+            high - low + 1).alias("size"), below.alias("below"), (~x["a"].isin(*RESERVED) & (x["a"] <= LAST_UNICAST)).alias("plain"))
+
+    def classed(x):
+        inside = x["b"].between(x["low"], x["low"] + x["size"] - 1)
+        left = F.when(x["plain"], (x["a"] - x["below"]) * 256 + x["b"]).when(inside, x["b"] - x["low"]).when(
+            x["b"] < x["low"], x["b"]).otherwise(x["b"] - x["size"])
+        of = F.when(x["plain"], (LAST_UNICAST + 1 - len(RESERVED)) * 256).when(inside, x["size"]).otherwise(256 - x["size"])
+        name = F.when(x["plain"], "ip").otherwise(F.concat_ws("-", F.lit("ip"), x["a"].cast("string"), inside.cast("string")))
+        return F.struct(x.alias("x"), inside.alias("inside"), left.cast("bigint").alias("left"), of.alias("of"), name.alias("name"))
+
+    def shown(y, s):
+        x, place = y["x"], F.floor(s["l"] / 256)
+        # The number of the place among first octets that are not reserved, and of reserved ones up to it.
+        first = place + sum((F.when(place >= block - i, 1).otherwise(0) for i, block in enumerate(sorted(RESERVED))), F.lit(0))
+        second = F.when(x["plain"], s["l"] % 256).when(y["inside"], s["l"] + x["low"]).when(s["l"] < x["low"], s["l"]).otherwise(
+            s["l"] + x["size"])
+        return F.concat_ws(".", *[n.cast("bigint").cast("string") for n in (
+            F.when(x["plain"], first).otherwise(x["a"]), second, F.floor(s["r"] / 256), s["r"] % 256)])
+
+    new = lambda y: permute_pair(y["left"], y["x"]["rest"], (y["of"], F.lit(65536)), key, y["name"])
+    return once(once(once(octets, placed), classed), lambda y: once(new(y), lambda s: shown(y, s)))
+
+
 def only(value: Column, kept: str) -> Column:
     return F.regexp_replace(value, f"[^{kept}]", "")
 
@@ -129,7 +205,7 @@ def pseudonym(kind: str, value: Column, key: str) -> Column:
     if kind == "phone":
         number = F.right(digits, F.lit(10))
         before = F.substring(digits, F.lit(1), F.length(digits) - 10)
-        return refill(value, F.concat(before, permute_letters(number, key, kind)), "0-9")
+        return refill(value, F.concat(before, permute_phone(number, key)), "0-9")
     if kind == "card":
         payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
         new = permute_letters(payload, key, kind)
@@ -149,10 +225,7 @@ def pseudonym(kind: str, value: Column, key: str) -> Column:
             F.lpad((F.floor(s["r"] / 9999) + 1).cast("string"), 2, "0"), F.lpad((s["r"] % 9999 + 1).cast("string"), 4, "0")))
         return F.when((area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0), written[0])
     if kind == "ip":
-        part = lambda i: F.split(value, r"\.")[i].cast("int")
-        new = permute_pair(part(0) * 256 + part(1), part(2) * 256 + part(3), (65536, 65536), key, kind)
-        return F.transform(F.array(new), lambda s: F.concat_ws(".", *[x.cast("bigint").cast("string") for n in "lr" for x in (
-            F.floor(s[n] / 256), s[n] % 256)]))[0]
+        return permute_address(value, key)
     orders = {"yyyy-MM-dd": (F.substring(value, 5, 1) == "-"), "dd/MM/yyyy": F.substring(value, 3, 1) == "/",
               "MM/dd/yyyy": F.substring(value, 3, 1) == "/", "dd.MM.yyyy": F.substring(value, 3, 1) == "."}
     tries = []

@@ -124,3 +124,46 @@ def test_cards_with_any_neighbours(spark):
     rows = run(spark, [a + c + b for c, a, b in texts])
     for (card, before, after), (text, kinds) in zip(texts, rows):
         assert "card" in kinds and text.startswith(before) and card not in text
+
+
+def real_code(code):
+    return 200 <= int(code) <= 999 and code[1:] != "11"
+
+
+def test_phones_keep_what_can_exist(spark):
+    numbers = spark.range(1000).select(F.concat(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("5550147")).alias("n")).union(
+        spark.range(1000).select(F.concat(F.lit("212"), F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("0147")))).distinct()
+    out = [(r["n"], r["p"]) for r in numbers.select("n", private.permute_phone(F.col("n"), "k").alias("p")).collect()]
+    assert len({p for _, p in out}) == len(out) == 1999 and all(len(p) == 10 and p.isdigit() for _, p in out)
+    for n, p in out:
+        assert (real_code(n[:3]), real_code(n[3:6])) == (real_code(p[:3]), real_code(p[3:6]))
+    codes = spark.range(1000).select(private._code(F.col("id").cast("int")).alias("c")).select(
+        private._from_code(F.col("c.real"), F.col("c.place")).alias("c")).collect()
+    assert [int(r["c"]) for r in codes] == list(range(1000))
+
+
+def test_addresses_stay_in_their_blocks(spark):
+    import ipaddress
+
+    firsts = [*range(256)] + [100, 169, 172, 192, 198] * 40
+    rows = [(a, (i * 37) % 256 if i % 3 else {100: 70, 169: 254, 172: 20, 192: 168, 198: 18}.get(a, i % 256), i % 256, 7)
+            for i, a in enumerate(firsts)]
+    rows = sorted(set(rows))
+    out = spark.createDataFrame(rows, "a int, b int, c int, d int").select(
+        "a", "b", "c", "d", private.permute_address(F.concat_ws(".", *"abcd"), "k").alias("p")).collect()
+    assert len({r["p"] for r in out}) == len(rows)
+    for r in out:
+        old, new = ipaddress.ip_address(f"{r['a']}.{r['b']}.{r['c']}.{r['d']}"), ipaddress.ip_address(r["p"])
+        for block in ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12",
+                      "192.168.0.0/16", "198.18.0.0/15", "224.0.0.0/3"):
+            assert (old in ipaddress.ip_network(block)) == (new in ipaddress.ip_network(block))
+
+
+def test_long_texts(spark):
+    """Many repetitions of a pattern's parts overflow no stack."""
+    n = 1 << 12
+    texts = ["a@b" + ".c" * (1 << 19), "a" * n + "@b.c", "AB12" + " ABCD" * n, "1" * n, "1-" * n, "1." * n, "2024-" * n,
+             "(212) " * n, "+1 " * n]
+    rows = run(spark, texts)
+    assert len(rows) == len(texts) and rows[0][1] == ["email"] and rows[0][0].endswith("@b" + ".c" * (1 << 19))
+    assert run(spark, ["jo@ex.org, " * 1_000])[0][1] == ["email"] * 1_000

@@ -10,7 +10,8 @@ differ does the last round rank their single windows, from pairs of half-window
 
 Ranks are 64-bit hashes of the bytes; two windows count as equal when their anchors' ranks and their
 own agree. Texts are UTF-8 bytes, null is empty, matches never cross documents, and strings are judged
-on the input. Rows that repeat a doc_id are documents of their own, told apart by their texts.
+on the input. Rows that repeat a doc_id, or have none, are documents of their own, told apart by 64 bits
+of a hash of their texts; equal rows lose the same bytes.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ LENGTH = 200
 SEED = 64
 SLICE = 2 << 20
 CLASS = 4096  # segments of one anchor that a task takes; the windows of larger ones are ranked one by one
-# A place is one number: 24 bits of the text's hash, 31 of the first window, 8 of the count of the others.
-PLACE = "doc_id long, place long"
+# A place is one number: 31 bits of the first window above 8 of the count of the others.
+PLACE = "doc_id long, version long, place long"
 
 
 def versions(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "version", F.pmod(F.xxhash64("text"), F.lit(1 << 24)))
+        "version", F.xxhash64("text"))
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -77,21 +78,22 @@ def anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 raw, bounds = raw_bytes(part.column("text"))
                 owner, first, last, rank, own = segments(raw, bounds, length, seed)
                 ids = part.column("doc_id").take(pa.array(owner))
-                version = part.column("version").to_numpy()[owner]
-                place = (version << 39) | ((first - bounds[owner]) << 8) | (last - first)
+                version = part.column("version").take(pa.array(owner))
+                place = ((first - bounds[owner]) << 8) | (last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rank.view(np.int64)), pa.array(own.view(np.int64)), ids, pa.array(place)],
-                    ["anchor", "segment", "doc_id", "place"])
+                    [pa.array(rank.view(np.int64)), pa.array(own.view(np.int64)), ids, version, pa.array(place)],
+                    ["anchor", "segment", "doc_id", "version", "place"])
 
     return docs.mapInArrow(run, f"anchor long, segment long, {PLACE}")
 
 
 def contexts(chosen: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """The bytes of the chosen segments."""
-    by_document = chosen.withColumn("version", F.shiftright("place", 39)).groupBy("doc_id", "version").agg(
+    by_document = chosen.groupBy("doc_id", "version").agg(
         F.collect_list(F.struct("anchor", "single", "size", "place")).alias("chosen"))
     rows = docs.join(by_document, by_document.doc_id.eqNullSafe(docs.doc_id) & (
-        by_document.version == docs.version)).select(docs.doc_id, "text", "chosen").dropDuplicates(["doc_id", "chosen"])
+        by_document.version == docs.version)).select(docs.doc_id, docs.version, "text", "chosen").dropDuplicates(
+            ["doc_id", "version"])
 
     def run(batches):
         for batch in batches:
@@ -102,9 +104,10 @@ def contexts(chosen: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 first, more = (place >> 8) & ((1 << 31) - 1), place & 255
                 yield pa.RecordBatch.from_arrays(
                     [found.field("anchor"), found.field("single"), found.field("size"),
-                     pa.array([batch.column("doc_id")[i].as_py()] * len(place), pa.int64()), found.field("place"),
+                     pa.array([batch.column("doc_id")[i].as_py()] * len(place), pa.int64()),
+                     pa.array([batch.column("version")[i].as_py()] * len(place), pa.int64()), found.field("place"),
                      pa.array([text[a:a + m + length] for a, m in zip(first.tolist(), more.tolist())], pa.binary())],
-                    ["anchor", "single", "size", "doc_id", "place", "bytes"])
+                    ["anchor", "single", "size", "doc_id", "version", "place", "bytes"])
 
     return rows.mapInArrow(run, f"anchor long, single boolean, size long, {PLACE}, bytes binary")
 
@@ -133,7 +136,7 @@ def runs(place: np.ndarray, number: np.ndarray, row: np.ndarray, repeated: np.nd
 
 
 def partly_repeated(found: DataFrame, length: int) -> DataFrame:
-    """doc_id and place of runs of repeated windows in single segments; ``found`` as from ``contexts``."""
+    """doc_id, version and place of runs of repeated windows in single segments; ``found`` as from ``contexts``."""
     parts = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     small = found.filter(F.col("size") <= CLASS).repartition(parts, "anchor").sortWithinPartitions("anchor")
 
@@ -147,7 +150,8 @@ def partly_repeated(found: DataFrame, length: int) -> DataFrame:
             row, place = runs(place, number, row, (count[code] > 1) & single[row])
             if len(row):
                 yield pa.RecordBatch.from_arrays(
-                    [group.column("doc_id").chunk(0).take(pa.array(row)), pa.array(place)], ["doc_id", "place"])
+                    [*(group.column(c).chunk(0).take(pa.array(row)) for c in ("doc_id", "version")), pa.array(place)],
+                    ["doc_id", "version", "place"])
 
     def one_by_one(batches):
         for batch in batches:
@@ -157,30 +161,30 @@ def partly_repeated(found: DataFrame, length: int) -> DataFrame:
                 place = ((part.column("place").to_numpy()[row] >> 8) + number) << 8
                 yield pa.RecordBatch.from_arrays(
                     [part.column("anchor").take(pa.array(row)), pa.array(ranks.view(np.int64)),
-                     part.column("single").take(pa.array(row)), part.column("doc_id").take(pa.array(row)),
-                     pa.array(place)], ["anchor", "rank", "single", "doc_id", "place"])
+                     *(part.column(c).take(pa.array(row)) for c in ("single", "doc_id", "version")),
+                     pa.array(place)], ["anchor", "rank", "single", "doc_id", "version", "place"])
 
     large = found.filter(F.col("size") > CLASS).mapInArrow(
         one_by_one, f"anchor long, rank long, single boolean, {PLACE}")
     often = large.groupBy("anchor", "rank").count().filter("count > 1").select("anchor", "rank")
     return small.mapInArrow(in_groups, PLACE).union(
-        large.filter("single").join(often, ["anchor", "rank"]).select("doc_id", "place"))
+        large.filter("single").join(often, ["anchor", "rank"]).select("doc_id", "version", "place"))
 
 
 def repeated_places(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """doc_id and place of all runs of windows (at most 256 in one) that occur elsewhere too; ``docs`` as
+    """doc_id, version and place of all runs of windows (at most 256 in one) that occur elsewhere too; ``docs`` as
     from ``versions``."""
     every = anchors(docs, length, seed)
     common = every.groupBy("anchor").count().filter("count > 1").select("anchor")
     left = keep(every.join(common, "anchor"), "segments")
     own = keep(left.groupBy("anchor", "segment").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).select(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "version", "place")).alias("first")).select(
             "anchor", "segment", "n", "first.*"), "ranks")
     classes = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least")).filter(
         "size > 1 and least = 1")
-    chosen = own.join(classes, "anchor").select("anchor", (F.col("n") == 1).alias("single"), "size", "doc_id", "place")
+    chosen = own.join(classes, "anchor").select("anchor", (F.col("n") == 1).alias("single"), "size", "doc_id", "version", "place")
     partly = partly_repeated(keep(contexts(chosen, docs, length), "contexts"), length)
-    wholly = left.join(own.filter("n > 1").select("anchor", "segment"), ["anchor", "segment"]).select("doc_id", "place")
+    wholly = left.join(own.filter("n > 1").select("anchor", "segment"), ["anchor", "segment"]).select("doc_id", "version", "place")
     return wholly.union(partly)
 
 
@@ -188,7 +192,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     """doc_id, kept (the bytes that stay), n_bytes and spans (start and end of removed runs) of every row
     of ``docs`` (doc_id, text)."""
     whole = versions(docs)
-    found = keep(repeated_places(whole, length, seed), "repeats").withColumn("version", F.shiftright("place", 39))
+    found = keep(repeated_places(whole, length, seed), "repeats")
     by_document = found.groupBy("doc_id", "version").agg(F.collect_list("place").alias("places"))
     rows = whole.join(by_document, by_document.doc_id.eqNullSafe(whole.doc_id) & (
         by_document.version == whole.version), "left").select(whole.doc_id, "text", "places")

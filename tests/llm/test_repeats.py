@@ -69,3 +69,38 @@ def test_many_null_numbers_against_all_strings(spark, monkeypatch):
     compare(docs, length=30, seed=8)
     monkeypatch.setattr(repeats, "CLASS", 2)
     compare(docs, length=30, seed=8)
+
+
+def test_texts_that_share_a_doc_id_and_part_of_their_hash(spark):
+    """Of many rows without a doc_id some agree in 24 bits of the hash of their texts; no unique text goes."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    # Of 12,000 texts several pairs agree in 24 bits.
+    texts = [f"{i} " + ("" if i % 2 else passage[:250]) for i in range(12_000)]
+    hashed = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.pmod(F.xxhash64("t"), F.lit(1 << 24)).alias("h"))
+    pairs = [r["ts"] for r in hashed.groupBy("h").agg(F.collect_list("t").alias("ts")).filter("size(ts) > 1").collect()]
+    mixed = [sorted(p, key=len) for p in pairs if len({len(t) > 200 for t in p}) == 2][:3]
+    assert mixed
+    filler = ["".join(rng.choice("ijklmnopqrst ") for _ in range(400)) for _ in mixed]
+    docs = [t for pair in mixed for t in pair] + filler
+    out = repeats_of(spark, docs)
+    for t in docs:
+        assert out[t] == (t if passage[:250] not in t else t[:-251])
+
+
+def repeats_of(spark, texts):
+    from filetide.llm.repeats import remove_repeats
+
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    by_size = {}
+    for r in remove_repeats(df).collect():
+        by_size.setdefault(r["n_bytes"], []).append(bytes(r["kept"]).decode())
+    out = {}
+    for t in texts:
+        found = by_size[len(t.encode())]
+        out[t] = next(k for k in found if t.startswith(k[:4]))
+    return out

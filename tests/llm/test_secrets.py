@@ -96,3 +96,20 @@ def test_recall_and_false_reports_by_encoding(spark):
     assert {k: v for k, v in hits.items() if v < least[k[1]]} == {}, hits
     assert sum(map(bool, found[len(keys):])) <= 0.02 * sum(hits.values())
     assert [len(x) for x in S.ALPHABETS.values()] == sorted(len(x) for x in S.ALPHABETS.values())
+
+
+def test_a_megabyte_of_hits_takes_linear_time(spark):
+    import time
+
+    text = "token=abcdef;\n" * 75_000
+    started = time.monotonic()
+    found = scanned(spark, [text])[0]
+    assert found == plain(text) and time.monotonic() - started < 120
+    texts = ["token=abcdef " * n for n in (255, 256, 257, 511, 512, 513)]
+    assert scanned(spark, texts) == [plain(t) for t in texts]
+
+
+def test_long_runs(spark):
+    n = 1 << 15
+    for text, kind in (("AKIA" + "A" * n, 1), ("0" * n, 2), ("secret = " + "/" * n, 0)):
+        assert (kind in {k for _, k, _ in scanned(spark, [text])[0]}) and scanned(spark, [text])[0][0] == plain(text)[0]

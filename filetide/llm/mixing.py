@@ -103,8 +103,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weight: Callable[[tuple], fl
     count = word_count(F.col("text")) if tokens is None else tokens
     marked = docs.withColumn("__tokens", count).withColumn(
         "__leaf", F.to_json(F.struct(*[c.alias(f"l{i}") for i, c in enumerate(levels.values())]),
-                            {"ignoreNullFields": "false"}))
-    small = keep(marked.select("doc_id", "__tokens", "__leaf"), "mix")
+                            {"ignoreNullFields": "false"})).withColumn("__text", F.xxhash64("text"))
+    small = keep(marked.select("doc_id", "__text", "__tokens", "__leaf"), "mix")
     found = small.groupBy("__leaf").agg(F.sum("__tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).withColumn(
         "path", F.from_json("__leaf", ", ".join(f"l{i} string" for i in range(len(levels))))).limit(
             MOST_LEAVES + 1).collect()
@@ -118,7 +118,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weight: Callable[[tuple], fl
     leaves = docs.sparkSession.createDataFrame(rows, "__leaf string, __whole long, __rest long")
 
     bits = max(1, math.ceil(math.log2(max([r["n"] for r in found], default=1)) / 2))
-    order = F.xxhash64(F.lit(seed), F.col("__whole") + 1, "doc_id")
+    # The text takes part, so that rows without a doc_id, or with the same one, are not taken all at once.
+    order = F.xxhash64(F.lit(seed), F.col("__whole") + 1, "doc_id", "__text")
     placed = small.join(F.broadcast(leaves), "__leaf").filter("__rest > 0").select(
         "__leaf", "__tokens", "__rest", order.alias("h"), F.shiftright(order, 64 - bits).alias("range"))
     sums = placed.groupBy("__leaf", "__rest", "range").agg(F.sum("__tokens").alias("tokens"))

@@ -2,7 +2,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm.corpus import no_documents, odd_documents
+from llm.corpus import DOCUMENTS, no_documents, odd_documents
 from pyspark.sql import functions as F
 
 from filetide.llm import mixing
@@ -48,7 +48,7 @@ def test_each_leaf_reads_a_prefix_of_its_order(spark):
         order = {}
         for e in range(1, epochs + 1):
             order |= {(r["doc_id"], e): r["h"] for r in docs.select(
-                "doc_id", F.xxhash64(F.lit(1), F.lit(e).cast("long"), "doc_id").alias("h")).collect()}
+                "doc_id", F.xxhash64(F.lit(1), F.lit(e).cast("long"), "doc_id", F.xxhash64("text")).alias("h")).collect()}
         expected = []
         for x, budget in want.items():
             mine = [i for i in leaf if leaf[i] == x]
@@ -71,3 +71,13 @@ def test_odd_documents(spark):
     assert with_words <= out.count() <= docs.count()
     assert selected(no_documents(spark)).collect() == []
     assert selected(docs, total=0).collect() == []
+
+
+def test_rows_without_a_doc_id_are_not_one_lump(spark):
+    rows = [(None if i % 3 == 0 else i, f"text {i} " + "word " * (i % 7 + 1), "en", "s", 0, 0, 0, 0) for i in range(900)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    total = docs.select(mixing.word_count(F.col("text")).alias("n")).agg(F.sum("n")).first()[0]
+    for seed in range(4, 9):
+        for share in (0.5, 0.7):
+            got = mixing.mix(docs, {"lang": F.col("lang")}, lambda path: 1.0, share=share, seed=seed).agg(F.sum("__tokens")).first()[0]
+            assert int(share * total) <= got < int(share * total) + 10

@@ -87,10 +87,11 @@ class WordTokens:
         """The ids of all texts one after the other, and the bounds of each text's ids."""
         words, bounds = split_words(texts)
         lower = pc.ascii_lower(words)
-        if self.added:
-            special = pc.match_substring_regex(lower, "|".join(re.escape(t.lower()) for t in self.added))
-            lower = pc.if_else(special, words, lower)
         coded = lower.dictionary_encode()
+        if self.added:
+            special = pc.match_substring_regex(coded.dictionary, "|".join(re.escape(t.lower()) for t in self.added))
+            if pc.any(special).as_py():
+                coded = pc.if_else(special.take(coded.indices), words, lower).dictionary_encode()
         distinct = coded.dictionary
         if not len(distinct):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)

@@ -35,7 +35,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     # disks are full.
     time.sleep(DELIVERY_S)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``keep`` wrote and that nothing will read again."""
+    for table in tables:
+        _delete(table.sparkSession, table.kept_at)
 
 
 def application_folder(spark: SparkSession) -> str:
@@ -44,6 +52,9 @@ def application_folder(spark: SparkSession) -> str:
 
 def clear(spark: SparkSession) -> None:
     """Deletes every table of this application; call it when its results have been stored elsewhere."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    _delete(spark, application_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -271,6 +271,30 @@ def oracle_sql() -> dict[str, str]:
       WHERE event_time > {AS_OF} - INTERVAL 1 HOUR AND event_time < {AS_OF} GROUP BY 1"""
     q["q9_count_final"] = f"""{ACCESS} SELECT count(*) AS "rows" FROM final"""
 
+    # The same of stored tables
+    at = "TIMESTAMP '2024-01-25 12:00:00'"
+    since = lambda days: f"{_DAY} >= CAST({at} AS DATE) - {days} AND {_DAY} < {at}"
+    lately = f"event_time >= {at} - INTERVAL 1 DAY AND event_time < {at}"
+    q["q1_usage_by_vo_stored"] = f"""{EVENTS} SELECT vo, {_NUMBERS} FROM final
+      WHERE {_HOUR} >= {at} - INTERVAL 7 DAY AND {_HOUR} < {at} GROUP BY vo"""
+    q["q2_server_series_stored"] = f"""{EVENTS} SELECT {_HOUR} AS hour, CAST(sum("read") AS BIGINT) AS bytes_read FROM final
+      WHERE server_hostname = 'srv-3' AND {_HOUR} >= {at} - INTERVAL 2 DAY AND {_HOUR} < {at} GROUP BY 1"""
+    q["q3_top_servers_stored"] = f"""{EVENTS} SELECT server_hostname, count(DISTINCT filename) AS unique_files,
+      CAST(sum("read") AS BIGINT) AS bytes_read FROM final WHERE {since(30)} GROUP BY 1
+      ORDER BY unique_files DESC, bytes_read DESC, server_hostname LIMIT 20"""
+    q["q4_split_by_source_operation_stored"] = f"""{EVENTS} SELECT source_exchange, operation, count(*) AS events,
+      CAST(sum("read") AS BIGINT) AS bytes_read FROM final WHERE {_DAY} = CAST({at} AS DATE) - 1 GROUP BY ALL"""
+    q["q5_top_directories_stored"] = f"""{EVENTS} SELECT dirname1, dirname1 AS dirname2,
+      CAST(sum("read") AS BIGINT) AS bytes_read, count(*) AS events, count(DISTINCT filename) AS unique_files
+      FROM final WHERE {since(7)} GROUP BY ALL ORDER BY bytes_read DESC, dirname1 LIMIT 50"""
+    q["q6_raw_spot_check_stored"] = f"""{EVENTS} SELECT event_time, server_hostname, vo, filename, "read", "write" FROM final
+      WHERE vo = 'view' AND {lately} ORDER BY event_time DESC, event_id LIMIT 100"""
+    q["q7_recover_field_stored"] = f"""{EVENTS} SELECT event_time, source_exchange, dirname1 AS directory FROM access
+      WHERE {lately} ORDER BY event_time, event_id, recv_time DESC LIMIT 50"""
+    q["q8_count_by_source_stored"] = f"""{EVENTS} SELECT source_exchange, count(*) AS "rows" FROM access
+      WHERE event_time > {at} - INTERVAL 1 DAY AND event_time < {at} GROUP BY 1"""
+    q["q9_count_final_stored"] = f"""{EVENTS} SELECT count(*) AS "rows" FROM final"""
+
     # Pipeline metrics
     q["met1_batch_metrics"] = f"""{EVENTS} SELECT delivery, source_exchange,
       count(*) AS messages, count(*) FILTER (cut) AS parse_errors, count(*) AS rows_inserted,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -558,6 +558,59 @@ def q9_count_final(spark, sf_dir):
     return U.count_final(_raw(spark, sf_dir))
 
 
+# The same questions asked of what batches have stored and maintained: only the days in question are read.
+
+STORED_AS_OF = "2024-01-25 12:00:00"
+
+
+def stored_rollup(spark, sf_dir, spec, days):
+    """The states of a rollup since some days before the day of ``STORED_AS_OF``."""
+    end = datetime.fromisoformat(STORED_AS_OF)
+    return read_rollup(spark, _exact(spark, sf_dir), spec, start=(end - timedelta(days=days + 1)).isoformat(" "), end=STORED_AS_OF)
+
+
+def stored_raw(spark, sf_dir, hours):
+    """Raw rows, copies included, of some hours before ``STORED_AS_OF``."""
+    start = datetime.fromisoformat(STORED_AS_OF) - timedelta(hours=hours)
+    return read_raw(spark, _exact(spark, sf_dir), start=start.isoformat(" "), end=STORED_AS_OF)
+
+
+def q1_usage_by_vo_stored(spark, sf_dir):
+    return U.usage_by_vo(stored_rollup(spark, sf_dir, R.HOURLY, 7), STORED_AS_OF)
+
+
+def q2_server_series_stored(spark, sf_dir):
+    return _ntz(U.server_series(stored_rollup(spark, sf_dir, R.HOURLY, 2), "srv-3", STORED_AS_OF))
+
+
+def q3_top_servers_stored(spark, sf_dir):
+    return U.top_servers(stored_rollup(spark, sf_dir, R.DAILY, 30), STORED_AS_OF)
+
+
+def q4_split_by_source_operation_stored(spark, sf_dir):
+    return U.split_by_source_operation(stored_rollup(spark, sf_dir, R.DAILY, 1), STORED_AS_OF)
+
+
+def q5_top_directories_stored(spark, sf_dir):
+    return U.top_directories(stored_rollup(spark, sf_dir, R.DAILY, 7), STORED_AS_OF)
+
+
+def q6_raw_spot_check_stored(spark, sf_dir):
+    return _ntz(U.raw_spot_check(stored_raw(spark, sf_dir, 24), "view", STORED_AS_OF, hours=24))
+
+
+def q7_recover_field_stored(spark, sf_dir):
+    return _ntz(U.recover_field(stored_raw(spark, sf_dir, 24), "stream", "dirname1", STORED_AS_OF, hours=24, name="directory"))
+
+
+def q8_count_by_source_stored(spark, sf_dir):
+    return U.count_by_source(stored_raw(spark, sf_dir, 24), STORED_AS_OF, hours=24)
+
+
+def q9_count_final_stored(spark, sf_dir):
+    return U.count_final(read_raw(spark, _exact(spark, sf_dir)))
+
+
 # Pipeline metrics
 
 def met1_batch_metrics(spark, sf_dir):
@@ -590,7 +643,9 @@ QUERIES = [
     agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg8_compact_rollup, agg9_backfill,
     agg10_weekly_by_site, agg11_count_by, q1_usage_by_vo, q1_usage_by_vo_as_inserted, q2_server_series,
     q3_top_servers, q4_split_by_source_operation, q5_top_directories, q6_raw_spot_check, q7_recover_field,
-    q8_count_by_source, q9_count_final, met1_batch_metrics, met1_counters, met2_latency_histogram,
+    q8_count_by_source, q9_count_final, q1_usage_by_vo_stored, q2_server_series_stored, q3_top_servers_stored,
+    q4_split_by_source_operation_stored, q5_top_directories_stored, q6_raw_spot_check_stored, q7_recover_field_stored,
+    q8_count_by_source_stored, q9_count_final_stored, met1_batch_metrics, met1_counters, met2_latency_histogram,
 ]
 
 

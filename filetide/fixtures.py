@@ -15,6 +15,8 @@ from filetide.schema import FIELDS, LAYOUT, RECORD, TIMESTAMP_KEY
 from filetide.session import prepare
 
 AS_OF = "2001-07-01 00:00:00"
+# lineitem may be a single file of one row group, which one task would read and turn into messages alone.
+DEALT = 32
 TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation")
 
 
@@ -26,7 +28,7 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined tables with one row per delivery; Spark chooses the joins."""
     lineitem, orders, customer, supplier, part, nation = (table(spark, sf_dir, t) for t in TABLES)
     joined = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.repartition(DEALT, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))

@@ -28,6 +28,23 @@ def dedup_latest(df: DataFrame, keys=EVENT_KEY, version: str = VERSION, tiebreak
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def latest_in_files(df: DataFrame, keys=EVENT_KEY, version: str = VERSION, tiebreak=TIEBREAK) -> DataFrame:
+    """``dedup_latest`` for rows read from files, whose wide columns stay out of the comparison.
+
+    Only keys, versions and the places of rows are aggregated. Keys with several copies come back with the
+    place of their latest one; that is a short list where copies are few, and then no row of the wide table
+    moves at all. A row without a copy is looked up and found missing.
+    """
+    day = _present(df, ["event_date"]) if "event_time" in keys else []
+    order = [version, *_present(df, tiebreak), "_file", "_row"]
+    placed = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    copied = placed.groupBy(*day, *keys).agg(
+        F.count(F.lit(1)).alias("_copies"), F.max(F.struct(*order)).alias("_latest")).filter("_copies > 1")
+    chosen = placed.join(copied.drop("_copies"), [*day, *keys], "left")
+    latest = (F.col("_file") == F.col("_latest._file")) & (F.col("_row") == F.col("_latest._row"))
+    return chosen.filter(F.col("_latest").isNull() | latest).select(*df.columns)
+
+
 def duplicate_report(df: DataFrame, keys=EVENT_KEY) -> DataFrame:
     """Keys that occur more than once, with the number of copies."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

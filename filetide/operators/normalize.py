@@ -3,8 +3,6 @@ becomes an all-zero record that still carries the body and a flag."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,8 +71,8 @@ def parse_records(df: DataFrame, body: str = "body", observed: str | None = None
     A value of the wrong type is absent and flagged while its neighbours are kept. A malformed
     time ends decoding there, so later keys are absent too. Keys match by exact case.
 
-    Messages and parse errors are observed under the name ``observed``. Filters do not pass below
-    an observation, so that a later filter does not parse every body a second time.
+    With a name in ``observed``, as on streams, messages and parse errors are observed under it. Filters do
+    not pass below an observation; without one those on source and arrival time reach the scan.
     """
     text = F.coalesce(F.col(body), F.lit(""))
     first = F.get(F.col("_parsed")["message"], F.lit(0))
@@ -87,9 +85,10 @@ def parse_records(df: DataFrame, body: str = "body", observed: str | None = None
         F.when(F.col("_usable").isNotNull(), F.get(_read_json(F.col("_usable"), RECORD)["message"], F.lit(0)))
         .when(alone, first).alias("record"),
         (F.col("_parsed")[_BAD].isNotNull() | ~alone | F.col("_usable").isNotNull()).alias("parse_error"),
-    ).observe(
-        observed or f"parsed-{uuid.uuid4().hex[:12]}",
-        F.count(F.lit(1)).alias("messages"), F.count_if("parse_error").alias("parse_errors"))
+    )
+    if observed:
+        records = records.observe(
+            observed, F.count(F.lit(1)).alias("messages"), F.count_if("parse_error").alias("parse_errors"))
     return records.withColumn("record_time", C.parse_rfc3339(F.col("record")[TIMESTAMP_KEY]))
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filetide.operators.dedup import dedup_latest
+from filetide.operators.dedup import latest_in_files
 from filetide.operators.rollup import HOURLY, RollupSpec
 from filetide.storage import layout
 from filetide.storage.retention import RAW_DAYS, unexpired_raw, unexpired_rollup
@@ -49,7 +49,7 @@ def raw_view(spark: SparkSession, root: str, final: bool = True, start=None, end
     """Raw rows, by default the latest copy of each event. Time bounds apply before dedup, which
     is safe because all copies share the time; any other filter belongs after it."""
     rows = read_raw(spark, root, start, end, as_of)
-    return dedup_latest(rows) if final else rows
+    return latest_in_files(rows) if final and layout.in_files(rows) else rows
 
 
 def read_rollup(spark: SparkSession, root: str, spec: RollupSpec = HOURLY, start=None, end=None,

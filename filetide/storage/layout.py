@@ -18,6 +18,7 @@ from collections import defaultdict
 from datetime import date
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,6 +144,15 @@ def read_shown(spark: SparkSession, path: str, schema: T.StructType, shown: list
     return spark.read.schema(schema).option("basePath", path).parquet(*[p.path for p in shown])
 
 
+def in_files(rows: DataFrame) -> bool:
+    """Whether rows come from files, which have places, and not from an empty table."""
+    try:
+        rows.select("_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def read_parts(spark: SparkSession, root: str, name: str, schema: T.StructType, day_column: str,
                days=None) -> DataFrame:
     """The rows a reader should see, of all days or only of ``days``, whose folders alone are
@@ -177,6 +187,8 @@ def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int
     (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("parquet.bloom.filter.enabled#vo", "true")
      .option("parquet.bloom.filter.expected.ndv#vo", "10000")
+     .option("parquet.bloom.filter.enabled#source_exchange", "true")
+     .option("parquet.bloom.filter.expected.ndv#source_exchange", "1000")
      .partitionBy(day_column, "merged", "batch_id").parquet(path))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filetide.functions import columns as C
-from filetide.operators.dedup import dedup_latest
+from filetide.operators.dedup import latest_in_files
 from filetide.operators.rollup import DAILY, HOURLY, RollupSpec, merge_states, state
 from filetide.schema import EVENT_KEY, RAW_TABLE, VERSION
 from filetide.session import prepare
@@ -165,7 +165,7 @@ def compact_raw(spark: SparkSession, root: str, days=None, clean: bool = True) -
     found = [p for p in layout.raw_parts(spark, root, days) if horizon is None or p.day > horizon]
     chosen = _open_days(found, settled(spark, root))
     return _compact(layout.read_raw_parts(spark, root, chosen), layout.raw_path(root),
-                    layout.RAW_DAY, chosen, dedup_latest, raw_order(), clean, days)
+                    layout.RAW_DAY, chosen, latest_in_files, raw_order(), clean, days)
 
 
 def compact_rollup(spark: SparkSession, root: str, spec: RollupSpec, days=None, clean: bool = True) -> list[date]:

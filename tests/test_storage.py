@@ -232,3 +232,28 @@ def test_a_day_with_most_rows_is_split_over_files(spark, root):
                  .groupBy("event_date").count().collect())
     assert written.count() == 40000
     assert files[date(2026, 1, 1)] > 4 and len(files) == 10
+
+
+def test_bodies_stay_out_of_the_comparison(spark, root, batches):
+    """What is compared and moved holds no body; one row for each event comes back whole."""
+    for number, batch in batches:
+        tables.append_raw(batch, root, number)
+    latest = raw_view(spark, root)
+    found = plan(latest)
+    compared = [part for part in found.split("\n\n") if "Exchange" in part.split("\n")[0] and "Broadcast" not in part.split("\n")[0]]
+    assert compared and not any("raw_json" in part for part in compared)
+    from filetide.operators.dedup import dedup_latest
+
+    assert rows(latest) == rows(dedup_latest(read_raw(spark, root)))
+    assert raw_view(spark, root + "/none").count() == 0
+
+
+def test_stored_questions_read_their_days(spark):
+    from filetide.catalog import queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    for name, day in (("q1_usage_by_vo_stored", "bucket_date"), ("q4_split_by_source_operation_stored", "bucket_date"),
+                      ("q6_raw_spot_check_stored", "event_date"), ("q8_count_by_source_stored", "event_date")):
+        text = plan(Q.queries()[name](spark, sf))
+        filters = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+        assert filters and all(day in line for line in filters), name

@@ -1,10 +1,10 @@
 """Nearest neighbours by inner product from one-bit codes of randomly rotated vectors.
 
-Every vector is taken relative to the mean of all, scaled to length 1 and rotated at random; its code
-is one sign bit for each dimension, packed, with three numbers: the length before scaling, the inner
-product with the mean, and the inner product of code and vector, which corrects the estimate. A query
-is compared with packed codes first. The estimate's error has a bound that fails with a probability
-set by ``EPSILON``. The k likeliest vectors of a block are compared exactly first, in double precision
+Every vector is taken relative to the mean of all, scaled to length 1 and rotated at random, ``CODES``
+times; a code is one sign bit for each dimension, packed, with the length before scaling and the inner
+product of code and vector, which corrects the estimate. A query is compared with codes first, by the mean
+of their estimates, whose error falls with the root of their number. It has a bound that fails with a
+probability set by ``EPSILON``. The k likeliest vectors of a block are compared exactly first, in double precision
 on the original numbers; then all others whose upper bound reaches the least of these.
 
 Vectors that are null, zero, of another length than most, or hold a null or a non-finite number take
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 EPSILON = 4.0
+CODES = 4
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 8192
 MOST_TASKS = 20_000
@@ -42,52 +43,67 @@ def rotation(dimensions: int, seed: int) -> np.ndarray:
 
 
 class Codes:
-    """Packed codes and correction numbers of a block of vectors."""
+    """Packed codes and correction numbers of a block of vectors, a code for each rotation in ``turns``."""
 
-    def __init__(self, vectors: np.ndarray, mean: np.ndarray, turn: np.ndarray):
+    def __init__(self, vectors: np.ndarray, mean: np.ndarray, turns: np.ndarray):
+        count, dimensions = len(turns), vectors.shape[1]
         rest = vectors - mean
         self.lengths = np.linalg.norm(rest, axis=1)
-        turned = (rest / np.maximum(self.lengths, 1e-300)[:, None]) @ turn.T
-        signs = turned >= 0
-        self.packed = np.packbits(signs, axis=1)
-        self.along = vectors @ mean - mean @ mean  # the part of an inner product with a query that the mean has
-        self.agree = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
-
-    def bounds(self, queries: np.ndarray, mean: np.ndarray, turn: np.ndarray, epsilon: float):
-        """Estimates of all inner products of queries and vectors, and how far off they may be."""
-        dimensions = queries.shape[1]
-        turned = (queries @ turn.T).astype(np.float32)
-        signs = np.unpackbits(self.packed, axis=1, count=dimensions).astype(np.float32) * 2 - 1
-        agree = np.maximum(self.agree, 1e-12)
-        scale = np.where(self.lengths > 0, self.lengths / agree, 0) / np.sqrt(dimensions)
-        estimate = (turned @ signs.T) * scale[None, :].astype(np.float32) + (queries @ mean).astype(np.float32)[:, None]
-        spread = np.sqrt(np.maximum(1 - agree ** 2, 0)) / agree * self.lengths * epsilon / np.sqrt(max(dimensions - 1, 1))
-        size = np.linalg.norm(queries, axis=1)
-        return estimate, size[:, None].astype(np.float32) * (spread + 1e-5 * self.lengths)[None, :].astype(np.float32)
+        unit = rest / np.maximum(self.lengths, 1e-300)[:, None]
+        turned = (unit @ turns.reshape(-1, dimensions).T).reshape(len(vectors), count, dimensions)
+        self.packed = np.packbits(turned >= 0, axis=2)
+        self.agree = np.maximum(np.abs(turned).sum(axis=2) / np.sqrt(dimensions), 1e-12)
+
+    def signs(self, dimensions: int) -> np.ndarray:
+        """The codes as numbers whose product with a turned query estimates an inner product: the mean of
+        the estimates of all codes."""
+        scale = np.where(self.lengths[:, None] > 0, self.lengths[:, None] / self.agree, 0) / np.sqrt(dimensions)
+        signs = np.unpackbits(self.packed, axis=2, count=dimensions).astype(np.float32) * 2 - 1
+        signs *= (scale / self.agree.shape[1]).astype(np.float32)[:, :, None]
+        return signs.reshape(len(self.lengths), -1)
+
+    def spread(self, dimensions: int, epsilon: float) -> np.ndarray:
+        """How far off the estimates may be, for a query of length 1. Errors of codes are independent."""
+        each = np.maximum(1 - self.agree ** 2, 0) / self.agree ** 2
+        return self.lengths * (epsilon * np.sqrt(each.sum(axis=1)) / each.shape[1] / np.sqrt(max(dimensions - 1, 1)) + 1e-5)
+
+
+def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products summed from first to last, so that a score does not depend on who adds it up."""
+    return np.cumsum(vectors * query, axis=1)[:, -1]
 
 
 def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
-           mean: np.ndarray, turn: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+           mean: np.ndarray, turns: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query its k best of this block: positions of queries, vec_ids and exact scores."""
-    codes = Codes(vectors, mean, turn)
+    dimensions = vectors.shape[1]
+    codes = Codes(vectors, mean, turns)
+    signs, spread = codes.signs(dimensions), codes.spread(dimensions, epsilon).astype(np.float32)
+    longest = np.linalg.norm(vectors, axis=1).max()
     out = []
     for a in range(0, len(queries), 128):
         part, own = queries[a:a + 128], query_ids[a:a + 128]
-        estimate, off = codes.bounds(part, mean, turn, epsilon)
+        size = np.linalg.norm(part, axis=1)
+        estimate = (part @ turns.reshape(-1, dimensions).T).astype(np.float32) @ signs.T
+        estimate += (part @ mean).astype(np.float32)[:, None]
         same = own[:, None] == ids[None, :]
         estimate[same] = -np.inf
         if len(ids) > k:
             likely = np.argpartition(estimate, len(ids) - k, axis=1)[:, len(ids) - k:]
             there = np.take_along_axis(estimate, likely, axis=1) > -np.inf
-            exact = np.einsum("ij,ikj->ik", part, vectors[likely])
-            near = estimate + off >= np.where(there, exact, -np.inf).min(axis=1)[:, None]
-            near &= ~same
+            scores = np.einsum("ij,ikj->ik", part, vectors[likely])
+            least = np.where(there, scores, -np.inf).min(axis=1)
+            estimate += size[:, None].astype(np.float32) * spread[None, :]
+            near = (estimate >= least[:, None].astype(np.float32)) & ~same
         else:
             near = ~same
         for i, mine in enumerate(near):
             column = np.flatnonzero(mine)
-            # Summed from first to last, so that a score does not depend on who adds it up.
-            score = np.cumsum(vectors[column] * part[i], axis=1)[:, -1]
+            if len(column) > k:  # by a fast sum first, with more than its error
+                quick = vectors[column] @ part[i]
+                least = np.partition(quick, len(column) - k)[len(column) - k]
+                column = column[quick >= least - 1e-9 * max(size[i] * longest, 1e-300)]
+            score = exact(vectors[column], part[i])
             best = np.lexsort((ids[column], -score))[:k]
             out.append((np.full(len(best), a + i), ids[column[best]], score[best]))
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -109,7 +125,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, epsilon: float
     dimensions, rows = sizes["n"], sizes["count"]
     vectors, queries = (x.filter(F.size("vector") == dimensions) for x in (vectors, queries))
     mean = np.array(vectors.select([F.avg(F.col("vector")[i]) for i in range(dimensions)]).first(), float)
-    turn = rotation(dimensions, seed)
+    turns = np.stack([rotation(dimensions, seed + i) for i in range(CODES)])
     asked = queries.count()
     many, few = -(-rows // VECTOR_BLOCK), max(1, -(-asked // QUERY_BLOCK))
     tasks = min(2 * many * few, MOST_TASKS)
@@ -125,7 +141,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, epsilon: float
         if not len(query_ids) or not len(ids):
             return pa.table({n: pa.array([], t) for n, t in (
                 ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()))})
-        row, found, score = search(ids, v, query_ids, q, k, mean, turn, epsilon)
+        row, found, score = search(ids, v, query_ids, q, k, mean, turns, epsilon)
         return pa.table({"query_id": query_ids[row], "vec_id": found, "score": score})
 
     def arrays(table: pa.Table):

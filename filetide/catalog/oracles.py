@@ -182,6 +182,11 @@ def oracle_sql() -> dict[str, str]:
     q["ddp3_compact_raw"] = f"""{EVENTS} SELECT {_DAY} AS event_date, count(*) AS "rows",
       count(DISTINCT event_id) AS events FROM final GROUP BY 1"""
     q["ddp4_drop_recent_duplicates"] = f"{EVENTS} SELECT DISTINCT server_hostname, event_time, event_id FROM access"
+    q["ddp4_by_arrival"] = f"""{EVENTS}, arrived AS (
+        SELECT *, CAST(server_id AS BIGINT) AS number_, UNNEST(CASE WHEN CAST(server_id AS BIGINT) % 2 = 1 THEN [5]
+          WHEN CAST(server_id AS BIGINT) % 10 = 0 THEN [0, 6] ELSE [0] END) AS hours FROM access WHERE delivery = 1)
+      SELECT TIMESTAMP '2024-02-01 00:00:00' + to_hours(hours) AS recv_time, event_time, event_id, server_hostname, vo,
+        filename, "read", "write", server_id AS raw_json FROM arrived"""
     q["ddp5_duplicate_report"] = f"""{ACCESS} SELECT server_hostname, event_time, event_id, count(*) AS copies
       FROM access GROUP BY ALL HAVING count(*) > 1"""
     q["ddp5_excess_by_source"] = f"""{ACCESS} SELECT source_exchange, count(*) AS "rows",
@@ -302,6 +307,9 @@ def oracle_sql() -> dict[str, str]:
     q["met1_counters"] = f"""{EVENTS} SELECT CAST(count(*) AS BIGINT) AS messages,
       CAST(count(*) FILTER (cut) AS BIGINT) AS parse_errors, CAST(count(*) AS BIGINT) AS rows_inserted,
       CAST(count(*) FILTER (cut) AS BIGINT) AS quarantined FROM access"""
+    q["met3_outcomes"] = q["met1_counters"].replace(
+        " FROM access", ", CAST(2 AS BIGINT) AS batches_committed, CAST(1 AS BIGINT) AS insert_failures, "
+        "CAST(2 AS BIGINT) AS timed_commits FROM access")
     bounds = ", ".join(f"CAST({0.005 * 2**i!r} AS DOUBLE)" for i in range(12)) + ", CAST('inf' AS DOUBLE)"
     q["met2_latency_histogram"] = f"""SELECT le, (SELECT count(*) FROM events WHERE value / 100.0 <= le) AS count
       FROM (SELECT UNNEST([{bounds}]) AS le)"""

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filetide import fixtures as X
 from filetide.functions import columns as C
 from filetide.functions import states as S
-from filetide.functions.fields import json_string
+from filetide.functions.fields import json_string, json_text
 from filetide.operators import dedup as D
 from filetide.operators import normalize as N
 from filetide.operators import rollup as R
@@ -260,6 +261,26 @@ def ddp4_drop_recent_duplicates(spark, sf_dir):
     return _ntz(spark.read.parquet(f"{root}/out"))
 
 
+def ddp4_by_arrival(spark, sf_dir):
+    """State that is evicted between micro-batches: copies within two hours of an event's first arrival go,
+    those after that come back. Half of the events arrive at first, the others five hours later; every
+    fifth of both comes again, an hour and six hours after the start."""
+    root = workspace(prepare(spark), "arrivals")
+    first = X.event_records(spark, sf_dir).filter("delivery = 1").drop("delivery", "ingest_time")
+    number = F.col("server_id").cast("long")
+    arrivals = [(0, number % 2 == 0), (1, number % 10 == 0), (5, number % 2 == 1), (6, number % 5 == 0)]
+    columns = ["recv_time", "event_time", "event_id", "server_hostname", "vo", "filename", "read", "write", "raw_json"]
+    start = F.timestamp_seconds(F.lit(1_706_745_600))
+    for hours, some in arrivals:
+        sent = first.filter(some).withColumn("recv_time", start + F.make_dt_interval(F.lit(0), F.lit(hours)))
+        sent.select(*columns).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(sent.select(*columns).schema).parquet(f"{root}/in")
+        once = D.drop_recent_duplicates(stream, "2 hours", time="recv_time")
+        (once.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).start(f"{root}/out")).awaitTermination()
+    return _ntz(spark.read.parquet(f"{root}/out").withColumn("raw_json", json_text(F.col("raw_json"), "serverID")))
+
+
 def ddp5_duplicate_report(spark, sf_dir):
     return _ntz(D.duplicate_report(_raw(spark, sf_dir)))
 
@@ -626,6 +647,25 @@ def met1_counters(spark, sf_dir):
         "messages", "parse_errors", "rows_inserted", "quarantined")
 
 
+def met3_outcomes(spark, sf_dir):
+    """What a stream recorded that refused its first batch, for its many days, and stored it when asked again:
+    counters and the histogram of its commits."""
+    root = workspace(prepare(spark), "outcomes")
+    for delivery, limits in ((1, (3, None)), (2, (None,))):
+        X.land_messages(spark, sf_dir, f"{root}/landing", delivery, files=1)
+        for limit in limits:
+            stream = read_messages(spark, f"{root}/landing", max_files=1)
+            try:
+                write_raw(stream, root, f"{root}/checkpoint", {"availableNow": True}, mode=None, max_days=limit).awaitTermination()
+            except StreamingQueryException:
+                if limit is None:
+                    raise
+    commits = metrics.read_commits(spark, root)
+    timed = metrics.latency_histogram(commits.filter("committed")).filter(F.col("le") == float("inf"))
+    return metrics.counters(metrics.read_batches(spark, root), commits).crossJoin(
+        timed.select(F.col("count").alias("timed_commits")))
+
+
 def met2_latency_histogram(spark, sf_dir):
     events = X.table(spark, sf_dir, "events")
     return metrics.latency_histogram(events.select((F.col("value") / 100.0).alias("latency_seconds")))
@@ -635,7 +675,7 @@ QUERIES = [
     src1_read_messages, src2_union_sources, src3_read_raw, src4_read_rollup, nrm1_parse_records,
     nrm2_parse_errors, nrm3_event_time, nrm4_project_layout, nrm5_unix_time, nrm6_unsigned_ranges,
     nrm7_flags, nrm8_server_ip, nrm9_event_id, nrm10_operation, nrm11_buckets, nrm12_json_string,
-    ddp1_dedup_latest, ddp2_raw_view, ddp3_compact_raw, ddp4_drop_recent_duplicates, ddp5_duplicate_report,
+    ddp1_dedup_latest, ddp2_raw_view, ddp3_compact_raw, ddp4_drop_recent_duplicates, ddp4_by_arrival, ddp5_duplicate_report,
     ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout,
     snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs, snk10_lost_drivers,
     ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
@@ -645,7 +685,7 @@ QUERIES = [
     q3_top_servers, q4_split_by_source_operation, q5_top_directories, q6_raw_spot_check, q7_recover_field,
     q8_count_by_source, q9_count_final, q1_usage_by_vo_stored, q2_server_series_stored, q3_top_servers_stored,
     q4_split_by_source_operation_stored, q5_top_directories_stored, q6_raw_spot_check_stored, q7_recover_field_stored,
-    q8_count_by_source_stored, q9_count_final_stored, met1_batch_metrics, met1_counters, met2_latency_histogram,
+    q8_count_by_source_stored, q9_count_final_stored, met1_batch_metrics, met1_counters, met2_latency_histogram, met3_outcomes,
 ]
 
 

@@ -208,8 +208,8 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _seconds_later(F.col("delivery")).alias("recv_time"), "delivery")
 
 
-def land_messages(spark: SparkSession, sf_dir: str, path: str, delivery: int) -> None:
-    """Adds one delivery of the event messages to a folder of JSON files."""
-    messages = event_messages(spark, sf_dir)
-    (messages.filter(F.col("delivery") == delivery).drop("delivery")
-     .write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(path))
+def land_messages(spark: SparkSession, sf_dir: str, path: str, delivery: int, files: int | None = None) -> None:
+    """Adds one delivery of the event messages to a folder of JSON files, so many of them if asked."""
+    messages = event_messages(spark, sf_dir).filter(F.col("delivery") == delivery).drop("delivery")
+    messages = messages if files is None else messages.repartition(files)
+    (messages.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(path))

@@ -204,6 +204,8 @@ def oracle_sql() -> dict[str, str]:
       count(*) FILTER (NOT cut AND delivery = 2) AS from_second_delivery FROM final"""
     q["snk4_sorted_layout"] = f"""{EVENTS} SELECT event_time, event_id, vo FROM access
       WHERE server_hostname = 'srv-3' AND vo = 'click' AND event_time >= TIMESTAMP '2024-01-10 00:00:00'"""
+    q["snk4_row_groups"] = f"""{EVENTS} SELECT layout, (SELECT count(*) FROM access) AS "rows", layout = 'stored' AS most_skipped
+      FROM (SELECT UNNEST(['stored', 'unordered']) AS layout)"""
     q["snk5_bucketed_dedup"] = f"{EVENTS} SELECT event_id, event_time, vo FROM final"
     q["snk6_quarantine"] = f"""{EVENTS} SELECT source_exchange, CAST(recv_time AS DATE) AS event_date,
       count(*) AS "rows" FROM access WHERE cut GROUP BY ALL"""

@@ -20,7 +20,7 @@ from filetide.plans import usage as U
 from filetide.session import prepare, workspace
 from filetide.sources.messages import read_messages, union_sources
 from filetide.sources.tables import raw_view, read_raw, read_rollup
-from filetide.storage import layout, tables
+from filetide.storage import footers, layout, tables
 from filetide.streaming import maintain, metrics
 from filetide.streaming.ingest import commit_batch, store_batch, write_raw
 from filetide.streaming.upkeep import upkeep
@@ -317,6 +317,26 @@ def snk4_sorted_layout(spark, sf_dir):
                 .select("event_time", "event_id", "vo"))
 
 
+def snk4_row_groups(spark, sf_dir):
+    """All events as one day of small row groups, stored as batches are and in no order: whether a reader of one
+    hour skips most of them."""
+    root = workspace(prepare(spark), "groups")
+    small = {"parquet.block.size": "8192"}
+    hour = 1_706_745_600 + 12 * 3600
+    rows = X.event_records(spark, sf_dir).drop("delivery").withColumn("event_time", F.timestamp_seconds(
+        1_706_745_600 + F.pmod(F.unix_millis("event_time"), F.lit(86_400_000)) / 1000))
+    tables.append_raw(rows, root, 0, small)
+    unordered = tables.as_raw(rows).repartition(2, F.xxhash64("event_id", "ingest_time")).sortWithinPartitions(F.md5("event_id"))
+    unordered.write.options(**small).parquet(f"{root}/unordered")
+    found = None
+    for name, path in (("stored", layout.raw_path(root)), ("unordered", f"{root}/unordered")):
+        groups = footers.row_groups(spark, path, ["event_time", "server_hostname"])
+        one = footers.skipping(groups, footers.may_hold_time("event_time", hour, hour + 3600)).select(
+            F.lit(name).alias("layout"), "rows", (F.col("row_groups_read") * 2 < F.col("row_groups")).alias("most_skipped"))
+        found = one if found is None else found.union(one)
+    return found
+
+
 def snk5_bucketed_dedup(spark, sf_dir):
     root = workspace(prepare(spark), "bucketed")
     table = "filetide_" + root.rsplit("-", 1)[-1]
@@ -676,7 +696,7 @@ QUERIES = [
     nrm2_parse_errors, nrm3_event_time, nrm4_project_layout, nrm5_unix_time, nrm6_unsigned_ranges,
     nrm7_flags, nrm8_server_ip, nrm9_event_id, nrm10_operation, nrm11_buckets, nrm12_json_string,
     ddp1_dedup_latest, ddp2_raw_view, ddp3_compact_raw, ddp4_drop_recent_duplicates, ddp4_by_arrival, ddp5_duplicate_report,
-    ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout,
+    ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout, snk4_row_groups,
     snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs, snk10_lost_drivers,
     ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
     agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg6_incremental,

@@ -174,7 +174,7 @@ def visible(found: list[Part]) -> list[Part]:
 
 
 def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int = 0,
-                order: list[str] | None = None) -> None:
+                order: list | None = None, options: dict[str, str] | None = None) -> None:
     """Replaces this batch's directories in every day it touches, and no others.
 
     Rebalancing by day writes few files per day and splits a day that holds most of the rows.
@@ -189,7 +189,7 @@ def write_parts(df: DataFrame, path: str, day_column: str, batch_id, merged: int
      .option("parquet.bloom.filter.expected.ndv#vo", "10000")
      .option("parquet.bloom.filter.enabled#source_exchange", "true")
      .option("parquet.bloom.filter.expected.ndv#source_exchange", "1000")
-     .partitionBy(day_column, "merged", "batch_id").parquet(path))
+     .options(**(options or {})).partitionBy(day_column, "merged", "batch_id").parquet(path))
 
 
 def vacuum(spark: SparkSession, path: str, day_column: str, days=None) -> list[str]:

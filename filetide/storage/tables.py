@@ -56,10 +56,10 @@ def raw_order() -> list:
     return [F.date_trunc("hour", F.col("event_time")), *EVENT_KEY]
 
 
-def append_raw(df: DataFrame, root: str, batch_id: int) -> None:
-    """Writes one batch of raw rows; writing the same batch again replaces it."""
+def append_raw(df: DataFrame, root: str, batch_id: int, options: dict[str, str] | None = None) -> None:
+    """Writes one batch of raw rows; writing the same batch again replaces it. ``options`` are the writer's."""
     prepare(df.sparkSession)
-    layout.write_parts(as_raw(df), layout.raw_path(root), layout.RAW_DAY, batch_id, order=raw_order())
+    layout.write_parts(as_raw(df), layout.raw_path(root), layout.RAW_DAY, batch_id, order=raw_order(), options=options)
 
 
 def append_rollup(states: DataFrame, root: str, spec: RollupSpec, batch_id, merged: int = 0) -> None:

@@ -257,3 +257,20 @@ def test_stored_questions_read_their_days(spark):
         text = plan(Q.queries()[name](spark, sf))
         filters = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
         assert filters and all(day in line for line in filters), name
+
+
+def test_footers_say_what_a_reader_skips(spark, tmp_path):
+    from filetide.storage import footers
+
+    path = str(tmp_path / "sorted")
+    spark.range(4000, numPartitions=1).select(F.timestamp_seconds("id").alias("t"), F.lpad(
+        F.col("id").cast("string"), 5, "0").alias("s"), F.lit("x" * 50).alias("body")).write.option(
+            "parquet.block.size", "4096").parquet(path)
+    groups = footers.row_groups(spark, path, ["t", "s"])
+    whole = footers.skipping(groups, F.lit(True)).first()
+    assert whole.rows == whole.rows_read == 4000 and whole.row_groups == whole.row_groups_read > 8
+    by_time = footers.skipping(groups, footers.may_hold_time("t", 2000, 2001)).first()
+    by_text = footers.skipping(groups, footers.may_hold_text("s", "02000")).first()
+    assert by_time.row_groups_read == by_text.row_groups_read == 1
+    assert footers.skipping(groups, footers.may_hold_text("s", "zzz")).first().rows_read == 0
+    assert footers.skipping(groups, footers.may_hold_text("body", "no range asked for")).first().rows_read == 4000

@@ -241,6 +241,7 @@ def oracle_sql() -> dict[str, str]:
       CAST(sum("write") AS BIGINT) AS bytes_written FROM access GROUP BY 1"""
     q["agg5_distinct_states"] = f"""{ACCESS} SELECT vo, count(DISTINCT filename) AS unique_files
       FROM access GROUP BY 1"""
+    q["agg5_exact_distincts"] = _rollup(EVENTS, "final", _DAY, "day", "vo")
     q["snk10_lost_drivers"] = _rollup(EVENTS, "final", _HOUR, "hour", "vo")
     q["agg6_incremental"] = _rollup(EVENTS, "access", _HOUR, "hour", _EVENT_DIMS)
     q["agg6_incremental_daily"] = _rollup(EVENTS, "access", _DAY, "day", _EVENT_DIMS)

@@ -513,6 +513,17 @@ def agg5_distinct_states(spark, sf_dir):
     return states.groupBy("vo").agg(S.final_uniq(S.uniq_merge("u")).alias("unique_files"))
 
 
+def agg5_exact_distincts(spark, sf_dir):
+    """Different files per vo and day from rollups that batches keep exact, however many files there are."""
+    root = workspace(prepare(spark), "names")
+    names = R.names_of(R.HOURLY)
+    for number, batch in X.event_batches(X.event_records(spark, sf_dir)):
+        tables.append_raw(batch, root, number)
+        maintain.refresh(spark, root, specs=(R.HOURLY, names))
+    with_day = lambda spec: read_rollup(spark, root, spec).withColumn("day", F.col(layout.ROLLUP_DAY))
+    return R.exact_totals(with_day(R.HOURLY), with_day(names), ["vo", "day"])
+
+
 def agg6_incremental(spark, sf_dir):
     return _states(spark, _as_inserted(spark, sf_dir), R.HOURLY)
 
@@ -699,7 +710,7 @@ QUERIES = [
     ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout, snk4_row_groups,
     snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs, snk10_lost_drivers,
     ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
-    agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg6_incremental,
+    agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg5_exact_distincts, agg6_incremental,
     agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg8_compact_rollup, agg9_backfill,
     agg10_weekly_by_site, agg11_count_by, q1_usage_by_vo, q1_usage_by_vo_as_inserted, q2_server_series,
     q3_top_servers, q4_split_by_source_operation, q5_top_directories, q6_raw_spot_check, q7_recover_field,

@@ -43,6 +43,33 @@ HOURLY = RollupSpec("rollup_hourly", "hour")
 DAILY = RollupSpec("rollup_daily", "day")
 
 
+def names_of(spec: RollupSpec, measure: str = "unique_files") -> RollupSpec:
+    """The rollup that counts ``measure`` of ``spec`` exactly: one group for each different value, with the number
+    of its events. It is kept, revised and merged like any other; a value counts while it has events."""
+    source = spec.distinct[measure]
+    return RollupSpec(f"{spec.name}_{measure}", spec.grain, (*[d for d in spec.dims if d != source], source), sums={}, distinct={})
+
+
+def exact_distinct(names: DataFrame, keys, spec: RollupSpec = HOURLY, measure: str = "unique_files") -> DataFrame:
+    """How many different values there are per ``keys``, from the states of ``names_of(spec)``. Copies of a value
+    meet in each task first, so neither a frequent value nor a key with very many gathers in one place."""
+    of = names_of(spec, measure)
+    events = names.groupBy(*keys, spec.distinct[measure]).agg(F.sum(state(of.count)).alias("_events"))
+    return events.filter("_events > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias(measure))
+
+
+def exact_totals(states: DataFrame, names: DataFrame, keys, spec: RollupSpec = HOURLY, measure: str = "unique_files",
+                 measures=None) -> DataFrame:
+    """``totals`` with ``measure`` counted exactly instead of by its sketch."""
+    rest = [m for m in measures or spec.measures if m != measure]
+    exact = exact_distinct(names, keys, spec, measure)
+    renamed = exact.select(*[F.col(k).alias(f"_{k}") for k in keys], measure)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    found = totals(states, keys, spec, rest)
+    joined = found.join(renamed, same, "left") if keys else found.crossJoin(renamed)
+    return joined.select(*found.columns, F.coalesce(measure, F.lit(0).cast("bigint")).alias(measure))
+
+
 def state(measure: str) -> str:
     return f"{measure}_state"
 

@@ -134,6 +134,7 @@ def _narrow(rows: DataFrame, specs) -> DataFrame:
     wanted = [layout.RAW_DAY, *EVENT_KEY, VERSION, *TIEBREAK, "batch_id"]
     for spec in specs:
         wanted += [*spec.dims, *spec.sums.values(), *spec.distinct.values()]
+        wanted += ["write"] if "operation" in spec.dims else []  # which tells the operation
     return rows.select(*dict.fromkeys(wanted))
 
 

@@ -1,5 +1,6 @@
 import pytest
 from helpers import raw, record, rows
+from pyspark.sql import functions as F
 
 from filetide.functions import states as S
 from filetide.operators import rollup as R
@@ -66,3 +67,16 @@ def test_own_rollup(spark):
     df = raw(spark, [record(f"/{i}", site="A", user=f"u{i % 2}") for i in range(4)])
     out = R.finalize(R.rollup(df, spec), spec).first()
     assert (str(out.week), out.site, out.events, out.stored, out.users) == ("2026-03-16", "A", 4, 29360128, 2)
+
+
+def test_exact_distincts_of_many_names(spark):
+    """Beyond what a sketch tells exactly, with one group that has most of them and names that recur."""
+    rows = spark.range(700_000, numPartitions=8).select(
+        F.timestamp_seconds(F.lit(1_774_180_800) + F.col("id") % 7200).alias("event_time"), F.lit("h").alias("server_hostname"),
+        F.when(F.col("id") % 50 == 0, "small").otherwise("large").alias("vo"), F.lit("s").alias("source_exchange"),
+        F.lit("d").alias("dirname1"), F.lit("e").alias("dirname2"), (F.col("id") % 300_000).cast("string").alias("filename"),
+        F.lit(1).cast("bigint").alias("read"), F.lit(0).cast("bigint").alias("write"))
+    states, names = R.rollup(rows), R.rollup(rows, R.names_of(R.HOURLY))
+    assert R.exact_distinct(names, []).first()["unique_files"] == 300_000
+    found = {r["vo"]: (r["events"], r["unique_files"]) for r in R.exact_totals(states, names, ["vo"]).collect()}
+    assert found == {"small": (14_000, 6_000), "large": (686_000, 294_000)}

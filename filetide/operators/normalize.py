@@ -3,6 +3,8 @@ becomes an all-zero record that still carries the body and a flag."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,18 +67,21 @@ def _usable_part(body: Column, bad_time: Column) -> Column:
     return F.to_json(let(values, without))
 
 
-def parse_records(df: DataFrame, body: str = "body", observed: str | None = None) -> DataFrame:
+def parse_records(df: DataFrame, body: str = "body", observed: str | None = None,
+                  only: Column | str | None = None) -> DataFrame:
     """Adds ``record`` (55 fields, NULL = absent), ``record_time`` and ``parse_error``.
 
     A value of the wrong type is absent and flagged while its neighbours are kept. A malformed
     time ends decoding there, so later keys are absent too. Keys match by exact case.
 
-    With a name in ``observed``, as on streams, messages and parse errors are observed under it. Filters do
-    not pass below an observation; without one those on source and arrival time reach the scan.
+    Messages and parse errors are observed under the name ``observed``. Filters do not pass below an
+    observation: one on parsed fields would parse every body again for each field it names. A filter on the
+    messages' own columns belongs in ``only``, from where it reaches the scan.
     """
     text = F.coalesce(F.col(body), F.lit(""))
     first = F.get(F.col("_parsed")["message"], F.lit(0))
     alone = F.coalesce(F.size(F.col("_parsed")["message"]) == 1, F.lit(False))
+    df = df if only is None else df.filter(only)
     parsed = df.withColumn("_parsed", _read_json(text, RECORD))
     usable = parsed.withColumn("_usable", F.when(
         alone & _suspect(first), _usable_part(text, _bad_time(first))))
@@ -85,10 +90,9 @@ def parse_records(df: DataFrame, body: str = "body", observed: str | None = None
         F.when(F.col("_usable").isNotNull(), F.get(_read_json(F.col("_usable"), RECORD)["message"], F.lit(0)))
         .when(alone, first).alias("record"),
         (F.col("_parsed")[_BAD].isNotNull() | ~alone | F.col("_usable").isNotNull()).alias("parse_error"),
-    )
-    if observed:
-        records = records.observe(
-            observed, F.count(F.lit(1)).alias("messages"), F.count_if("parse_error").alias("parse_errors"))
+    ).observe(
+        observed or f"parsed-{uuid.uuid4().hex[:12]}",
+        F.count(F.lit(1)).alias("messages"), F.count_if("parse_error").alias("parse_errors"))
     return records.withColumn("record_time", C.parse_rfc3339(F.col("record")[TIMESTAMP_KEY]))
 
 
@@ -145,8 +149,8 @@ def project_layout(df: DataFrame, body: str = "body", received: str = "recv_time
 
 
 def normalize_records(df: DataFrame, body: str = "body", received: str = "recv_time",
-                      observed: str | None = None) -> DataFrame:
-    return project_layout(parse_records(df, body, observed), body, received)
+                      observed: str | None = None, only: Column | str | None = None) -> DataFrame:
+    return project_layout(parse_records(df, body, observed, only), body, received)
 
 
 def normalize_ip(df: DataFrame, column: str = "server_ip") -> DataFrame:

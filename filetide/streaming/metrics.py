@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from filetide.storage.layout import table_path, voided
 
@@ -21,6 +24,33 @@ _COMMITS = T.StructType([
     T.StructField("batch_id", T.LongType())])
 
 
+class Watch(StreamingQueryListener):
+    """What streams report while they run: of each micro-batch the messages and parse errors it observed and how
+    long it took, and of each stream that ended why it failed, if it did. Add it with
+    ``spark.streams.addListener``; the last ``keep`` reports are held."""
+
+    def __init__(self, observed: str = "messages", keep: int = 1000):
+        self.observed = observed
+        self.batches: deque[dict] = deque(maxlen=keep)
+        self.ended: deque[dict] = deque(maxlen=keep)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get(self.observed)
+        if seen is not None:
+            self.batches.append({"run": str(progress.runId), "batch": progress.batchId, "seconds": progress.batchDuration / 1000,
+                                 "messages": seen["messages"], "parse_errors": seen["parse_errors"]})
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.append({"run": str(event.runId), "error": event.exception})
+
+
 def batch_metrics(batch: DataFrame, batch_id: int) -> DataFrame:
     """Messages, parse errors, stored and quarantined rows of one batch, by source. Every message
     is stored, and every one that did not parse is quarantined too."""

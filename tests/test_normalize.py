@@ -158,3 +158,12 @@ def test_json_text(spark):
 def test_filter_does_not_parse_twice(spark):
     text = plan(normalize_records(messages(spark, [record()])).filter("event_id = 'x' AND read > 5"))
     assert text.index("Filter") < text.index("CollectMetrics")
+
+
+def test_filters_on_messages_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    messages(spark, [record()]).union(messages(spark, ["broken"], source="other")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    some = normalize_records(stored, only="source_exchange = 'main' AND recv_time >= '2026-03-22'")
+    assert "EqualTo(source_exchange,main)" in plan(some) and "GreaterThanOrEqual(recv_time" in plan(some)
+    assert some.count() == 1 and normalize_records(stored).count() == 2

@@ -108,3 +108,20 @@ def test_text_lines_are_bodies(spark, tmp_path):
     (stream.writeStream.format("memory").queryName("lines").trigger(**NOW)
      .option("checkpointLocation", str(tmp_path / "c")).start()).awaitTermination()
     assert rows(spark.table("lines").groupBy("source_exchange").count()) == [("lines", 2)]
+
+
+def test_a_listener_sees_batches_and_failures(spark, tmp_path):
+    landing, root, check = (str(tmp_path / n) for n in ("in", "tables", "check"))
+    _land(spark, landing, [record(), "broken"], [record(f"/{d}", **{"@timestamp": f"2026-03-0{d}T00:00:00Z"}) for d in (1, 2)])
+    watch = metrics.Watch()
+    spark.streams.addListener(watch)
+    try:
+        with pytest.raises(Exception, match="more than 1 days"):
+            _run(spark, landing, root, check, files=2, max_days=1, mode=None)
+        _run(spark, landing, root, check, files=2, mode=None)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(watch)
+    assert sum(b["messages"] for b in watch.batches) == 4 and sum(b["parse_errors"] for b in watch.batches) == 1
+    assert [e["error"] is None for e in watch.ended] == [False, True] and "more than 1 days" in watch.ended[0]["error"]
+    assert metrics.counters(metrics.read_batches(spark, root), metrics.read_commits(spark, root)).first()["insert_failures"] == 1

@@ -247,6 +247,8 @@ def oracle_sql() -> dict[str, str]:
     q["agg6_incremental_daily"] = _rollup(EVENTS, "access", _DAY, "day", _EVENT_DIMS)
     q["agg7_exact"] = _rollup(EVENTS, "final", _HOUR, "hour", _EVENT_DIMS)
     q["agg7_exact_daily"] = _rollup(EVENTS, "final", _DAY, "day", _EVENT_DIMS)
+    q["agg7_many_days"] = f"""{EVENTS} SELECT vo, count(*) AS events, CAST(sum("read") AS BIGINT) AS bytes_read,
+      CAST(sum("write") AS BIGINT) AS bytes_written FROM final GROUP BY 1"""
     q["agg8_compact_rollup"] = q["agg6_incremental"]
     q["agg9_backfill"] = f"""{EVENTS} SELECT CAST(date_trunc('week', event_time) AS DATE) AS week,
       server_hostname, vo, {_NUMBERS} FROM final GROUP BY ALL"""

@@ -348,13 +348,18 @@ def snk6_quarantine(spark, sf_dir):
     return D.count_by(tables.read_quarantine(spark, _streamed(spark, sf_dir)), "source_exchange", "event_date")
 
 
+def _over_many_days(spark, sf_dir, spans, apart):
+    """The events in so many copies of their thirty days, ``apart`` days from one another, from the year 1250 on."""
+    number = F.pmod(F.hash("event_id"), F.lit(spans))
+    days = F.lit(86400).cast("bigint") * (number * apart - 282000)
+    return X.event_records(spark, sf_dir).drop("delivery").withColumn(
+        "event_time", F.timestamp_seconds(F.unix_seconds("event_time") + days))
+
+
 def snk7_many_days(spark, sf_dir):
-    """One batch of many days between the years 1250 and 8990, of which every row is stored."""
+    """One batch of some thousand days between the years 1250 and 9000, of which every row is stored."""
     root = workspace(prepare(spark), "days")
-    rows = X.event_records(spark, sf_dir)
-    number = F.pmod(F.hash("event_id"), F.lit(5))
-    days = F.lit(86400).cast("bigint") * (number * 707000 - 282000)
-    commit_batch(rows.withColumn("event_time", F.timestamp_seconds(F.unix_seconds("event_time") + days)), 0, root)
+    commit_batch(_over_many_days(spark, sf_dir, 150, 19000), 0, root, mode=None)
     stored = read_raw(spark, root)
     return stored.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"),
                       F.sum("read").alias("bytes_read"), (F.count_distinct("event_date") > 100).alias("many_days"),
@@ -540,6 +545,13 @@ def agg7_exact_daily(spark, sf_dir):
     return _states(spark, _exact(spark, sf_dir), R.DAILY)
 
 
+def agg7_many_days(spark, sf_dir):
+    """Exact usage after one batch of a hundred and fifty days over seven thousand years."""
+    root = workspace(prepare(spark), "days")
+    commit_batch(_over_many_days(spark, sf_dir, 5, 707000), 0, root)
+    return R.totals(read_rollup(spark, root, R.DAILY), ["vo"], R.DAILY, ["events", "bytes_read", "bytes_written"])
+
+
 def agg8_compact_rollup(spark, sf_dir):
     root = workspace(prepare(spark), "compact")
     _maintained(spark, sf_dir, maintain.AS_INSERTED, root)
@@ -711,7 +723,7 @@ QUERIES = [
     snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs, snk10_lost_drivers,
     ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
     agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg5_exact_distincts, agg6_incremental,
-    agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg8_compact_rollup, agg9_backfill,
+    agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg7_many_days, agg8_compact_rollup, agg9_backfill,
     agg10_weekly_by_site, agg11_count_by, q1_usage_by_vo, q1_usage_by_vo_as_inserted, q2_server_series,
     q3_top_servers, q4_split_by_source_operation, q5_top_directories, q6_raw_spot_check, q7_recover_field,
     q8_count_by_source, q9_count_final, q1_usage_by_vo_stored, q2_server_series_stored, q3_top_servers_stored,

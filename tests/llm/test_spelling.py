@@ -63,8 +63,9 @@ def misspelled(spark, seed=5, documents=200):
     texts = []
     words = ["".join(rng.choice(letters) for _ in range(rng.randint(6, 14))) for _ in range(12)]
     words += ["aaaaaaaa", "aaaaaaaaa", "aaaaaaaaaa", "abababab", "babababa", "ababababa"]
-    for _ in range(documents):
-        said = []
+    for i in range(documents):
+        # A chain: the second is a form of the third, and the first of the second.
+        said = ["chainedword"] * 2 + ["chainedwxrd"] * (i % 10 == 0) + ["chaiyedwxrd"] * (i % 100 == 0)
         for _ in range(60):
             word = rng.choice(words)
             for _ in range(min(rng.randrange(40) // 37, 2)):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from filetide.schema import LAYOUT
+
 AS_OF = "TIMESTAMP '2001-07-01 00:00:00'"
 ZERO_ID = "1751ac12e70e15b4f76c16775cd329ae"  # content id of a record with nothing in it
 
@@ -127,6 +129,22 @@ def oracle_sql() -> dict[str, str]:
     # Sources
     q["src1_read_messages"] = f"""{EVENTS} SELECT source_exchange, count(*) AS messages,
       min(recv_time) AS first_time, max(recv_time) AS last_time FROM access GROUP BY 1"""
+    told = """to_json({'@timestamp': strftime(event_time, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(epoch_ms(event_time) % 1000 AS VARCHAR), 3, '0') || 'Z',
+      'serverID': server_id, 'server_hostname': server_hostname, 'vo': vo, 'filename': filename, 'dirname1': dirname1,
+      'dirname2': dirname1, 'read': "read", 'write': "write"})"""
+    q["src1_message_bodies"] = f"""{EVENTS}, told AS (SELECT *, CAST({told} AS VARCHAR) AS whole FROM access)
+      SELECT source_exchange, CASE WHEN cut THEN left(whole, length(whole) - 20) ELSE whole END AS body, recv_time FROM told"""
+    zero = {"string": "''", "int": "CAST(0 AS INTEGER)", "bigint": "CAST(0 AS BIGINT)", "double": "CAST(0 AS DOUBLE)",
+            "timestamp": "TIMESTAMP '1970-01-01 00:00:00'"}
+    said = {"server_id": "server_id", "server_hostname": "server_hostname", "vo": "vo", "filename": "filename",
+            "dirname1": "dirname1", "dirname2": "dirname1", "read": '"read"', "write": '"write"'}
+    columns = {f.name: zero[f.dataType.simpleString()] for f in LAYOUT} | {"server_ip": "'::'"}
+    columns |= {c: f"CASE WHEN cut THEN {columns[c]} ELSE {told_by} END" for c, told_by in said.items()}
+    columns |= {"event_time": "CASE WHEN cut THEN recv_time ELSE event_time END", "source_exchange": "source_exchange",
+                "event_id": f"CASE WHEN cut THEN '{ZERO_ID}' ELSE event_id END", "parse_error": "cut",
+                "raw_json": "CASE WHEN cut THEN left(whole, length(whole) - 20) ELSE whole END"}
+    q["nrm4_whole_layout"] = f"""{EVENTS}, told AS (SELECT *, CAST({told} AS VARCHAR) AS whole FROM access)
+      SELECT {", ".join(f'{x} AS "{c}"' for c, x in columns.items())} FROM told"""
     q["src2_union_sources"] = f"{ACCESS} SELECT event_id, vo, source_exchange FROM access"
     q["src3_read_raw"] = f"""{EVENTS} SELECT event_time, event_id, vo, "read", "write" FROM access
       WHERE event_time >= TIMESTAMP '2024-01-05 06:00:00' AND event_time < TIMESTAMP '2024-01-20 18:30:00'"""
@@ -241,6 +259,8 @@ def oracle_sql() -> dict[str, str]:
       CAST(sum("write") AS BIGINT) AS bytes_written FROM access GROUP BY 1"""
     q["agg5_distinct_states"] = f"""{ACCESS} SELECT vo, count(DISTINCT filename) AS unique_files
       FROM access GROUP BY 1"""
+    q["agg1_hourly_by_server"] = _rollup(EVENTS, "final", _HOUR, "hour", "server_hostname, operation")
+    q["agg2_daily_by_vo"] = _rollup(EVENTS, "final", _DAY, "day", "vo, source_exchange")
     q["agg5_exact_distincts"] = _rollup(EVENTS, "final", _DAY, "day", "vo")
     q["snk10_lost_drivers"] = _rollup(EVENTS, "final", _HOUR, "hour", "vo")
     q["agg6_incremental"] = _rollup(EVENTS, "access", _HOUR, "hour", _EVENT_DIMS)

@@ -17,6 +17,7 @@ from filetide.operators import dedup as D
 from filetide.operators import normalize as N
 from filetide.operators import rollup as R
 from filetide.plans import usage as U
+from filetide.schema import LAYOUT
 from filetide.session import prepare, workspace
 from filetide.sources.messages import read_messages, union_sources
 from filetide.sources.tables import raw_view, read_raw, read_rollup
@@ -135,6 +136,17 @@ def src1_read_messages(spark, sf_dir):
         F.max("recv_time").alias("last_time")))
 
 
+def src1_message_bodies(spark, sf_dir):
+    """Every message as read back from landed files: source, whole body and arrival."""
+    root = workspace(prepare(spark), "bodies")
+    for delivery in (1, 2):
+        X.land_messages(spark, sf_dir, f"{root}/landing", delivery)
+    stream = read_messages(spark, f"{root}/landing", max_files=FILES_PER_BATCH)
+    (stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+     .trigger(availableNow=True).start(f"{root}/read")).awaitTermination()
+    return _ntz(spark.read.parquet(f"{root}/read").select("source_exchange", "body", "recv_time"))
+
+
 def src2_union_sources(spark, sf_dir):
     rows = _raw(spark, sf_dir).select("event_id", "vo", "source_exchange")
     sources = {n: rows.filter(F.col("source_exchange") == n).drop("source_exchange")
@@ -192,6 +204,12 @@ def nrm4_project_layout(spark, sf_dir):
     return _ntz(wide.select(*names))
 
 
+def nrm4_whole_layout(spark, sf_dir):
+    """All columns of the event messages, those that a message does not mention included."""
+    wide = N.normalize_records(X.event_messages(spark, sf_dir).drop("delivery"))
+    return _ntz(wide.select(*LAYOUT.names, "parse_error"))
+
+
 def nrm5_unix_time(spark, sf_dir):
     seconds = F.unix_seconds("event_time")
     return _ntz(_raw(spark, sf_dir).select(
@@ -499,6 +517,20 @@ def agg2_daily_rollup(spark, sf_dir):
     return R.finalize(_daily(spark, sf_dir), R.DAILY)
 
 
+HOURLY_BY_SERVER = R.RollupSpec("rollup_hourly_server", "hour", ("server_hostname", "operation"))
+DAILY_BY_VO = R.RollupSpec("rollup_daily_vo", "day", ("vo", "source_exchange"))
+
+
+def agg1_hourly_by_server(spark, sf_dir):
+    """Groups of several events, some of them copies."""
+    return _ntz(R.finalize(R.rollup(D.dedup_latest(X.event_records(spark, sf_dir)), HOURLY_BY_SERVER), HOURLY_BY_SERVER))
+
+
+def agg2_daily_by_vo(spark, sf_dir):
+    """Groups of many events, which a revised copy leaves or enters."""
+    return R.finalize(R.rollup(D.dedup_latest(X.event_records(spark, sf_dir)), DAILY_BY_VO), DAILY_BY_VO)
+
+
 def agg3_count_states(spark, sf_dir):
     states = N.with_operation(_raw(spark, sf_dir)).groupBy("vo", "operation", "server_hostname").agg(
         S.count_state().alias("state"))
@@ -715,14 +747,14 @@ def met2_latency_histogram(spark, sf_dir):
 
 
 QUERIES = [
-    src1_read_messages, src2_union_sources, src3_read_raw, src4_read_rollup, nrm1_parse_records,
-    nrm2_parse_errors, nrm3_event_time, nrm4_project_layout, nrm5_unix_time, nrm6_unsigned_ranges,
+    src1_read_messages, src1_message_bodies, src2_union_sources, src3_read_raw, src4_read_rollup, nrm1_parse_records,
+    nrm2_parse_errors, nrm3_event_time, nrm4_project_layout, nrm4_whole_layout, nrm5_unix_time, nrm6_unsigned_ranges,
     nrm7_flags, nrm8_server_ip, nrm9_event_id, nrm10_operation, nrm11_buckets, nrm12_json_string,
     ddp1_dedup_latest, ddp2_raw_view, ddp3_compact_raw, ddp4_drop_recent_duplicates, ddp4_by_arrival, ddp5_duplicate_report,
     ddp5_excess_by_source, snk1_write_raw, snk2_replayed_batches, snk3_later_copy_wins, snk4_sorted_layout, snk4_row_groups,
     snk5_bucketed_dedup, snk6_quarantine, snk7_many_days, snk8_ensure_tables, snk9_two_jobs, snk10_lost_drivers,
     ret1_expire_raw, ret2_expire_rollup, ret3_longer_retention, ret4_late_refresh, ret4_late_backfill, agg1_hourly_rollup, agg1_hourly_as_inserted,
-    agg2_daily_rollup, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg5_exact_distincts, agg6_incremental,
+    agg2_daily_rollup, agg1_hourly_by_server, agg2_daily_by_vo, agg3_count_states, agg4_sum_states, agg5_distinct_states, agg5_exact_distincts, agg6_incremental,
     agg6_incremental_daily, agg7_exact, agg7_exact_daily, agg7_many_days, agg8_compact_rollup, agg9_backfill,
     agg10_weekly_by_site, agg11_count_by, q1_usage_by_vo, q1_usage_by_vo_as_inserted, q2_server_series,
     q3_top_servers, q4_split_by_source_operation, q5_top_directories, q6_raw_spot_check, q7_recover_field,

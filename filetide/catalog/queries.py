@@ -27,6 +27,7 @@ from filetide.streaming.ingest import commit_batch, store_batch, write_raw
 from filetide.streaming.upkeep import upkeep
 
 FILES_PER_BATCH = 64
+ROWS_A_SMALL_FILE = 50_000
 
 _built: dict[tuple[str, str, str], str] = {}
 _last_first_delivery: dict[str, int] = {}
@@ -69,8 +70,9 @@ def _daily(spark, sf_dir):
 # Stored tables
 
 def _append_all(spark, sf_dir, root):
-    for number, batch in X.event_batches(X.event_records(spark, sf_dir)):
-        tables.append_raw(batch, root, number)
+    with X.events_at_hand(spark, sf_dir):
+        for number, batch in X.event_batches(X.event_records(spark, sf_dir)):
+            tables.append_raw(batch, root, number)
 
 
 def _stored(spark, sf_dir) -> str:
@@ -85,10 +87,11 @@ def _own_copy(spark, sf_dir, name) -> str:
 
 def _maintained(spark, sf_dir, mode, root) -> None:
     """Stores and maintains batch by batch; batches one and three arrive twice."""
-    batches = X.event_batches(X.event_records(spark, sf_dir))
-    for number in (0, 1, 1, 2, 3, 3):
-        tables.append_raw(batches[number][1], root, number)
-        maintain.maintain_rollups(read_raw(spark, root).filter(F.col("batch_id") == number), number, root, mode)
+    with X.events_at_hand(spark, sf_dir):
+        batches = X.event_batches(X.event_records(spark, sf_dir))
+        for number in (0, 1, 1, 2, 3, 3):
+            tables.append_raw(batches[number][1], root, number)
+            maintain.maintain_rollups(read_raw(spark, root).filter(F.col("batch_id") == number), number, root, mode)
 
 
 def _as_inserted(spark, sf_dir) -> str:
@@ -339,12 +342,13 @@ def snk4_row_groups(spark, sf_dir):
     """All events as one day of small row groups, stored as batches are and in no order: whether a reader of one
     hour skips most of them."""
     root = workspace(prepare(spark), "groups")
-    small = {"parquet.block.size": "8192"}
+    # A footer names every column of every row group, and is read as a whole: files of so many rows keep it small.
+    small = {"parquet.block.size": "8192", "maxRecordsPerFile": str(ROWS_A_SMALL_FILE)}
     hour = 1_706_745_600 + 12 * 3600
     rows = X.event_records(spark, sf_dir).drop("delivery").withColumn("event_time", F.timestamp_seconds(
         1_706_745_600 + F.pmod(F.unix_millis("event_time"), F.lit(86_400_000)) / 1000))
     tables.append_raw(rows, root, 0, small)
-    unordered = tables.as_raw(rows).repartition(2, F.xxhash64("event_id", "ingest_time")).sortWithinPartitions(F.md5("event_id"))
+    unordered = tables.as_raw(rows).repartition(F.xxhash64("event_id", "ingest_time")).sortWithinPartitions(F.md5("event_id"))
     unordered.write.options(**small).parquet(f"{root}/unordered")
     found = None
     for name, path in (("stored", layout.raw_path(root)), ("unordered", f"{root}/unordered")):
@@ -445,14 +449,15 @@ def snk10_lost_drivers(spark, sf_dir):
     job = F.pmod(F.xxhash64("event_id", "delivery"), F.lit(8))
     share = lambda n: rows.filter(job == n).drop("delivery")
     steps = ["marked", "claimed", "noted", "written", "stored", "counted"]
-    for n, step in enumerate([*steps, "written", None]):
-        try:
-            store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", _dying(step), refresh_every=3)
-        except _Lost:
-            if n < len(steps):
-                store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", refresh_every=3)
-    upkeep(spark, root, X.AS_OF, raw_days=100_000, rollup_years=1000, lease_seconds=-1)
-    store_batch(share(len(steps)), 1, root, f"{root}/checkpoint-{len(steps) + 1}")
+    with X.events_at_hand(spark, sf_dir):
+        for n, step in enumerate([*steps, "written", None]):
+            try:
+                store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", _dying(step), refresh_every=3)
+            except _Lost:
+                if n < len(steps):
+                    store_batch(share(n), 0, root, f"{root}/checkpoint-{n}", refresh_every=3)
+        upkeep(spark, root, X.AS_OF, raw_days=100_000, rollup_years=1000, lease_seconds=-1)
+        store_batch(share(len(steps)), 1, root, f"{root}/checkpoint-{len(steps) + 1}")
     return _ntz(R.totals(read_rollup(spark, root), ["hour", "vo"], R.HOURLY))
 
 
@@ -727,9 +732,9 @@ def met3_outcomes(spark, sf_dir):
     counters and the histogram of its commits."""
     root = workspace(prepare(spark), "outcomes")
     for delivery, limits in ((1, (3, None)), (2, (None,))):
-        X.land_messages(spark, sf_dir, f"{root}/landing", delivery, files=1)
+        X.land_messages(spark, sf_dir, f"{root}/landing", delivery)
         for limit in limits:
-            stream = read_messages(spark, f"{root}/landing", max_files=1)
+            stream = read_messages(spark, f"{root}/landing")  # all files of a delivery are one batch
             try:
                 write_raw(stream, root, f"{root}/checkpoint", {"availableNow": True}, mode=None, max_days=limit).awaitTermination()
             except StreamingQueryException:

@@ -7,6 +7,10 @@ cut short. ``filetide/catalog/oracles.py`` says the same in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +19,11 @@ from filetide.schema import FIELDS, LAYOUT, RECORD, TIMESTAMP_KEY
 from filetide.session import prepare
 
 AS_OF = "2001-07-01 00:00:00"
-# lineitem may be a single file of one row group, which one task would read and turn into messages alone.
+# lineitem and events may be single files of one row group, which one task would read and turn into messages alone.
+# They are dealt over at least so many tasks, events over fewer while there are few, and a task gets no more rows
+# than this, since what it sorts must fit it at any size.
 DEALT = 32
+ROWS_A_TASK, FEW_ROWS = 250_000, 4_000
 TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation")
 
 
@@ -24,11 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, *keys: str, least: int = DEALT) -> DataFrame:
+    """A table by hash of ``keys`` over as many tasks as its rows need; footers say how many rows there are."""
+    rows = table(spark, sf_dir, name)
+    number = rows.count()
+    return rows.repartition(max(least, -(-number // ROWS_A_TASK), min(DEALT, -(-number // FEW_ROWS))), *keys)
+
+
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(spark, sf_dir, "events", "event_id", "ts", "user_id", least=1)
+
+
+@contextmanager
+def events_at_hand(spark: SparkSession, sf_dir: str) -> Iterator[None]:
+    """Meanwhile the events as read are kept where they were dealt to, for those who go through them several times."""
+    events = dealt_events(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        events.unpersist()
+
+
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined tables with one row per delivery; Spark chooses the joins."""
-    lineitem, orders, customer, supplier, part, nation = (table(spark, sf_dir, t) for t in TABLES)
+    _, orders, customer, supplier, part, nation = (table(spark, sf_dir, t) for t in TABLES)
     joined = (
-        lineitem.repartition(DEALT, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        dealt(spark, sf_dir, "lineitem", "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -147,8 +175,7 @@ def access_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
     copies = F.when(key % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    events = table(spark, sf_dir, "events")
-    return events.withColumn("delivery", F.explode(copies)).select(
+    return dealt_events(spark, sf_dir).withColumn("delivery", F.explode(copies)).select(
         F.col("event_id").alias("number"), "delivery", "event_type", "user_id", "value", "props",
         F.date_trunc("MILLISECOND", F.col("ts").cast("timestamp")).alias("event_time"))
 
@@ -208,8 +235,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _seconds_later(F.col("delivery")).alias("recv_time"), "delivery")
 
 
-def land_messages(spark: SparkSession, sf_dir: str, path: str, delivery: int, files: int | None = None) -> None:
-    """Adds one delivery of the event messages to a folder of JSON files, so many of them if asked."""
-    messages = event_messages(spark, sf_dir).filter(F.col("delivery") == delivery).drop("delivery")
-    messages = messages if files is None else messages.repartition(files)
+def land_messages(spark: SparkSession, sf_dir: str, path: str, delivery: int) -> None:
+    """Adds one delivery of the event messages to a folder of JSON files, no more than ``DEALT`` of them."""
+    messages = event_messages(spark, sf_dir).filter(F.col("delivery") == delivery).drop("delivery").coalesce(DEALT)
     (messages.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(path))

@@ -10,11 +10,8 @@ from filetide.storage import layout
 GROUPS = "file string, row_group int, rows long, bytes long, lows map<string,string>, highs map<string,string>"
 
 
-def row_groups(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """One row for each row group of the Parquet files below ``path``, with the least and greatest values that
-    its footer states for ``columns``, times as seconds since 1970. Footers are read in tasks, a file each."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
-        "recursiveFileLookup", "true").load(path).select("path")
+def ranges_of(columns: list[str]):
+    """What a task does with the paths it gets: reads footer by footer, keeping none."""
     wanted = list(columns)
 
     def read(batches):
@@ -31,10 +28,11 @@ def row_groups(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 files, inner = pafs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
                 footer = pq.ParquetFile(inner, filesystem=files).metadata
-                at = {footer.schema.column(i).path: i for i in range(footer.num_columns)}
                 rows = []
                 for number in range(footer.num_row_groups):
                     group = footer.row_group(number)
+                    # Asked for its schema, a footer refers to itself and stays in memory with those read after it.
+                    at = at if number else {group.column(i).path_in_schema: i for i in range(footer.num_columns)}
                     stated = {c: group.column(at[c]).statistics for c in wanted if c in at}
                     stated = {c: s for c, s in stated.items() if s is not None and s.has_min_max}
                     rows.append((path, number, group.num_rows, group.total_byte_size,
@@ -44,7 +42,15 @@ def row_groups(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
                 names = ["file", "row_group", "rows", "bytes", "lows", "highs"]
                 yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-    return files.mapInArrow(read, GROUPS)
+    return read
+
+
+def row_groups(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """One row for each row group of the Parquet files below ``path``, with the least and greatest values that
+    its footer states for ``columns``, times as seconds since 1970. Footers are read in tasks, a file each."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(path).select("path")
+    return files.mapInArrow(ranges_of(columns), GROUPS)
 
 
 def may_hold_text(column: str, value: str) -> Column:

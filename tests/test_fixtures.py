@@ -1,5 +1,7 @@
+import gc
 import glob
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from helpers import plan
@@ -63,3 +65,25 @@ def test_files_of_small_row_groups_stay_small(spark, events, monkeypatch):
         ("stored", 6600, True), ("unordered", 6600, False)}
     for files in groups:
         assert max(r[0] for r in files.groupBy("file").agg(F.sum("rows")).select("sum(rows)").collect()) <= 1000
+
+
+def test_a_footer_is_gone_once_its_file_is_read(spark, tmp_path):
+    """What a task has read of one file does not stay while it reads the next."""
+    def footers_left(batches):
+        gc.disable()
+        try:
+            for _ in Q.footers.ranges_of(["a", "b"])(batches):
+                pass
+            yield pa.record_batch([pa.array([sum(type(x).__name__ == "FileMetaData" for x in gc.get_objects())])], names=["left"])
+        finally:
+            gc.enable()
+
+    paths = []
+    for number in range(3):
+        paths.append(str(tmp_path / f"{number}.parquet"))
+        pq.write_table(pa.table({"a": range(100), "b": range(100)}), paths[-1], row_group_size=10)
+    batch = pa.record_batch([pa.array([f"file:{p}" for p in paths])], names=["path"])
+    gc.collect()
+    assert [b.column("left")[0].as_py() for b in footers_left([batch])] == [0]
+    found = Q.footers.row_groups(spark, str(tmp_path), ["a"])
+    assert found.count() == 30 and {(r["lows"]["a"], r["highs"]["a"]) for r in found.filter("row_group = 9").collect()} == {("90", "99")}

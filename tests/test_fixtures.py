@@ -87,3 +87,9 @@ def test_a_footer_is_gone_once_its_file_is_read(spark, tmp_path):
     assert [b.column("left")[0].as_py() for b in footers_left([batch])] == [0]
     found = Q.footers.row_groups(spark, str(tmp_path), ["a"])
     assert found.count() == 30 and {(r["lows"]["a"], r["highs"]["a"]) for r in found.filter("row_group = 9").collect()} == {("90", "99")}
+
+
+def test_a_message_is_written_as_json_once(spark, events):
+    """Not once more for each place that takes the whole body or a part of it."""
+    written = X.event_messages(spark, events)._jdf.queryExecution().optimizedPlan().toString()
+    assert written.count("StructsToJsonEvaluator") == 1

@@ -64,7 +64,11 @@ def _hourly(spark, sf_dir, final=True):
 
 
 def _daily(spark, sf_dir):
-    return R.rollup(D.dedup_latest(_raw(spark, sf_dir)), R.DAILY)
+    return R.rollup_latest(_raw(spark, sf_dir), R.DAILY, _parts(spark, sf_dir))
+
+
+def _parts(spark, sf_dir) -> int:
+    return X.tasks(X.table(spark, sf_dir, "lineitem").count())
 
 
 # Stored tables

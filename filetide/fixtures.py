@@ -34,8 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dealt(spark: SparkSession, sf_dir: str, name: str, *keys: str, least: int = DEALT) -> DataFrame:
     """A table by hash of ``keys`` over as many tasks as its rows need; footers say how many rows there are."""
     rows = table(spark, sf_dir, name)
-    number = rows.count()
-    return rows.repartition(max(least, -(-number // ROWS_A_TASK), min(DEALT, -(-number // FEW_ROWS))), *keys)
+    return rows.repartition(tasks(rows.count(), least), *keys)
+
+
+def tasks(rows: int, least: int = 1) -> int:
+    """How many tasks rows are dealt over."""
+    return max(least, -(-rows // ROWS_A_TASK), min(DEALT, -(-rows // FEW_ROWS)))
 
 
 def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,14 +58,15 @@ def events_at_hand(spark: SparkSession, sf_dir: str) -> Iterator[None]:
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined tables with one row per delivery; Spark chooses the joins. Orders meet their customers, and
-    suppliers their nations, before line items do: these are several times as many, and would be sorted once more."""
+    suppliers their nations, before line items do: these are several times as many, and would be sorted once more.
+    Parts come last, since their texts are the longest."""
     _, orders, customer, supplier, part, nation = (table(spark, sf_dir, t) for t in TABLES)
     ordered = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     supplied = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     joined = (
         dealt(spark, sf_dir, "lineitem", "l_orderkey").join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplied, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
     copies = F.when(F.col("l_orderkey") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     second = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + (F.col("l_orderkey") * 7919) % 86400

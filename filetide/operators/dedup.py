@@ -15,15 +15,16 @@ def _present(df: DataFrame, names) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
-def dedup_latest(df: DataFrame, keys=EVENT_KEY, version: str = VERSION, tiebreak=TIEBREAK) -> DataFrame:
+def dedup_latest(df: DataFrame, keys=EVENT_KEY, version: str = VERSION, tiebreak=TIEBREAK, within=()) -> DataFrame:
     """One row per key, the one with the highest version.
 
     Asking a window for row 1 lets Spark keep a single candidate per key in every input task
-    before it shuffles, so a key with very many copies never gathers in one place.
+    before it shuffles, so a key with very many copies never gathers in one place. Columns ``within``
+    must follow from the keys; rows that are dealt by some of them and of the keys already stay where they are.
     """
     # The day follows from the event time; naming it lets day filters pass below the window.
     day = _present(df, ["event_date"]) if "event_time" in keys else []
-    newest = Window.partitionBy(*day, *keys).orderBy(
+    newest = Window.partitionBy(*within, *day, *keys).orderBy(
         F.col(version).desc(), *[F.col(c).desc() for c in _present(df, tiebreak)])
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from filetide.functions import columns as C
 from filetide.functions import states as S
-from filetide.schema import ROLLUP_DIMENSIONS
+from filetide.operators.dedup import TIEBREAK, dedup_latest
+from filetide.schema import EVENT_KEY, ROLLUP_DIMENSIONS, VERSION
 
 # Merging to fewer keys than states are kept by goes in two levels over so many salts.
 SALTS = 32
@@ -107,14 +108,37 @@ def _group(df: DataFrame, keys, first: list[Column], again: list[Column], salts:
 
 def rollup(df: DataFrame, spec: RollupSpec = HOURLY, salts: int = 1) -> DataFrame:
     """States of ``spec`` from raw rows: the bucket, the dimensions, one state per measure."""
-    rows = df.withColumn(spec.time, C.bucket("event_time", spec.grain))
+    return _rollup(df.withColumn(spec.time, C.bucket("event_time", spec.grain)), spec, salts)
+
+
+def _rollup(rows: DataFrame, spec: RollupSpec, salts: int = 1) -> DataFrame:
     if "operation" in spec.dims:
         rows = rows.withColumn("operation", C.operation())
-    sources = [*spec.sums.values(), *spec.distinct.values()]
-    rows = rows.select(*dict.fromkeys([*spec.keys, *sources]))
+    rows = rows.select(*dict.fromkeys([*spec.keys, *_sources(spec)]))
     return _group(rows, spec.keys, _build(spec), _merge(spec, spec.measures), salts)
 
 
+def _sources(spec: RollupSpec) -> list[str]:
+    return [*spec.sums.values(), *spec.distinct.values()]
+
+
+def rollup_latest(df: DataFrame, spec: RollupSpec, parts: int) -> DataFrame:
+    """``rollup`` of the latest copy of each event, over ``parts`` tasks.
+
+    Where groups are nearly as many as rows, grouping in each task first saves nothing, and rows would be
+    written to disk once for their copies and again for their groups. The copies of an event and the rows of
+    a group are both in one bucket of one server, so rows are dealt by these and move once; what a task sorts
+    should fit it, which ``parts`` decides. A rollup without servers is made in two steps.
+    """
+    common = [k for k in EVENT_KEY if k in spec.dims]
+    if not common:
+        return rollup(dedup_latest(df), spec)
+    rows = df.withColumn(spec.time, C.bucket("event_time", spec.grain))
+    names = [*EVENT_KEY, VERSION, *TIEBREAK, spec.time, *[d for d in spec.dims if d != "operation"], "write", *_sources(spec)]
+    rows = rows.select(*[n for n in dict.fromkeys(names) if n in rows.columns]).withColumn("event_id", C.short_id("event_id"))
+    return _rollup(dedup_latest(rows.repartition(parts, spec.time, *common), within=(spec.time,)), spec)
+
+
 def coarsen(states: DataFrame, fine: RollupSpec, coarse: RollupSpec, salts: int | None = None) -> DataFrame:
     """States of a coarser rollup from those of a finer one with the same measures."""
     rows = states.withColumn(coarse.time, C.bucket(fine.time, coarse.grain))

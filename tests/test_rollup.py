@@ -1,7 +1,10 @@
+import re
+
 import pytest
-from helpers import raw, record, rows
+from helpers import plan, raw, record, rows
 from pyspark.sql import functions as F
 
+from filetide.functions import columns as C
 from filetide.functions import states as S
 from filetide.operators import rollup as R
 
@@ -80,3 +83,31 @@ def test_exact_distincts_of_many_names(spark):
     assert R.exact_distinct(names, []).first()["unique_files"] == 300_000
     found = {r["vo"]: (r["events"], r["unique_files"]) for r in R.exact_totals(states, names, ["vo"]).collect()}
     assert found == {"small": (14_000, 6_000), "large": (686_000, 294_000)}
+
+
+@pytest.mark.parametrize("name, spec", [("agg2_daily_rollup", R.DAILY)])
+def test_latest_copies_and_their_groups_need_one_shuffle(spark, monkeypatch, name, spec):
+    """Copies with another vo, ids that are no 32 digits, rows without a server, an id or a time."""
+    from filetide.catalog import queries as Q
+    from filetide.operators.dedup import dedup_latest
+
+    first = _sample(spark)
+    later = first.filter("read % 4 = 0").withColumn("vo", F.lit("revised")).withColumn(
+        "ingest_time", F.col("ingest_time") + F.expr("INTERVAL 1 MINUTE"))
+    odd = first.filter("read < 20").withColumns({
+        "event_id": F.when(F.col("read") % 3 == 0, F.upper("event_id")).when(F.col("read") % 3 == 1, F.lit("no id")),
+        "server_hostname": F.when(F.col("read") % 2 == 0, F.col("server_hostname")),
+        "event_time": F.when(F.col("read") % 5 > 0, F.col("event_time"))})
+    df = first.union(later).union(odd).localCheckpoint()
+    monkeypatch.setattr(Q.X, "access_records", lambda *_: df)
+    monkeypatch.setattr(Q.X, "table", lambda *_: df)
+    got = getattr(Q, name)(spark, "")
+    assert rows(got.withColumn(spec.time, F.col(spec.time).cast("timestamp"))) == rows(R.finalize(
+        R.rollup(dedup_latest(df), spec), spec).withColumn(spec.time, F.col(spec.time).cast("timestamp")))
+    assert len(set(re.findall(r"\(\d+\) Exchange", plan(got)))) == 1
+
+
+def test_short_ids_are_equal_for_equal_ids_only(spark):
+    ids = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "0123456789abcdef", "", None, "x" * 32, "ä", "\0"]
+    short = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "id string").select(C.short_id("id")).collect()]
+    assert len(set(short)) == len(ids) and short[0] == bytes.fromhex(ids[0]) and short[4] is None

@@ -60,7 +60,7 @@ def _delivery():
 
 def _hourly(spark, sf_dir, final=True):
     raw = _raw(spark, sf_dir)
-    return R.rollup(D.dedup_latest(raw) if final else raw, R.HOURLY)
+    return R.rollup_latest(raw, R.HOURLY, _parts(spark, sf_dir)) if final else R.rollup(raw, R.HOURLY)
 
 
 def _daily(spark, sf_dir):

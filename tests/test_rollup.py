@@ -85,7 +85,7 @@ def test_exact_distincts_of_many_names(spark):
     assert found == {"small": (14_000, 6_000), "large": (686_000, 294_000)}
 
 
-@pytest.mark.parametrize("name, spec", [("agg2_daily_rollup", R.DAILY)])
+@pytest.mark.parametrize("name, spec", [("agg1_hourly_rollup", R.HOURLY), ("agg2_daily_rollup", R.DAILY)])
 def test_latest_copies_and_their_groups_need_one_shuffle(spark, monkeypatch, name, spec):
     """Copies with another vo, ids that are no 32 digits, rows without a server, an id or a time."""
     from filetide.catalog import queries as Q
